@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from sluicework.operators.schema import column
 from sluicework.operators.skew import (
+    HASH,
     SALT,
     fan_out,
-    heavy_keys,
+    heavy_hashes,
     is_large,
     is_orderable,
+    key_hash,
     key_list,
     row_salt,
 )
@@ -62,15 +64,16 @@ def latest_per_key(
 
 def _spread_heavy_winners(df: DataFrame, keys: list[str], incremental_key: str) -> DataFrame:
     """Reduce heavy keys to their winners in place and give these a salt."""
+    digest = key_hash(keys, [df.schema[k].dataType for k in keys])
     renamed = [f"__heavy_{i}" for i in range(len(keys))]
-    heavy = heavy_keys(df, keys).toDF(*renamed)
-    same_key = [column(k).eqNullSafe(F.col(h)) for k, h in zip(keys, renamed)]
     newest = (
-        df.join(F.broadcast(heavy), same_key, "left_semi")
+        df.withColumn(HASH, digest)
+        .join(F.broadcast(heavy_hashes(df, digest)), HASH, "left_semi")
         .groupBy(*map(column, keys))
         .agg(F.max(column(incremental_key)).alias(_NEWEST))
         .toDF(*renamed, _NEWEST)
     )
+    same_key = [column(k).eqNullSafe(F.col(h)) for k, h in zip(keys, renamed)]
     spread = row_salt(df, fan_out(df.sparkSession))
     return (
         df.join(F.broadcast(newest), same_key, "left")

@@ -31,6 +31,7 @@ HEAVY_SHARE = 0.005
 _SKETCH_ITEMS = 10_000
 
 SALT = "__salt"
+HASH = "__hash"
 _HOT = "__hot"
 
 
@@ -90,31 +91,32 @@ def any_null(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [column(k).isNull() for k in keys])
 
 
-def heavy_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """At most ``MAX_HEAVY_KEYS`` key tuples, among them all that are heavy.
+def key_hash(keys: Sequence[str], kinds: Sequence[DataType]) -> Column:
+    return F.xxhash64(*[column(k).cast(kind) for k, kind in zip(keys, kinds)])
 
-    Two scans of the key columns: one folds every row into a mergeable sketch of
-    fixed size, the other picks the key values behind the sketched hashes.
+
+def heavy_hashes(df: DataFrame, digest: Column) -> DataFrame:
+    """Hashes of the heavy keys of ``df``, at most ``MAX_HEAVY_KEYS`` rows.
+
+    One scan of the key columns folds every row into a mergeable sketch of fixed
+    size.  Whatever else shares a hash is treated as heavy too.
     """
-    keys = key_list(keys)
-    hashed = df.select(*[column(k) for k in keys], F.xxhash64(*map(column, keys)).alias(_HOT))
-    sketch = hashed.agg(
-        F.expr(f"approx_top_k({_HOT}, {MAX_HEAVY_KEYS}, {_SKETCH_ITEMS})").alias("top"),
+    sketch = df.select(digest.alias(HASH)).agg(
+        F.expr(f"approx_top_k({HASH}, {MAX_HEAVY_KEYS}, {_SKETCH_ITEMS})").alias("top"),
         F.count(F.lit(1)).alias("rows"),
     )
-    hot = (
+    return (
         sketch.select("rows", F.inline("top"))
         .where(F.col("count") >= F.col("rows") * HEAVY_SHARE)
-        .select(F.col("item").alias(_HOT))
-    )
-    return (
-        hashed.join(F.broadcast(hot), _HOT, "left_semi")
-        .select(*map(column, keys))
-        .distinct()
-        .limit(MAX_HEAVY_KEYS)
+        .select(F.col("item").alias(HASH))
     )
 
 
+def _common_kinds(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[DataType]:
+    both = left.select(*map(column, keys)).unionAll(right.select(*map(column, keys)))
+    return [f.dataType for f in both.schema.fields]
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -124,33 +126,24 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to a ``right`` that has few rows per key.
 
-    ``how`` is ``left``, ``left_semi`` or ``left_anti``.  Null keys match nothing
-    and are spread.  If the join will shuffle a large left side, its heavy keys
-    are salted and the right rows of those keys, at most ``MAX_HEAVY_KEYS`` of
-    them when keys are unique, are repeated once per salt.
+    ``how`` is ``left``, ``left_semi`` or ``left_anti``; null keys match nothing.
+    If the join will shuffle a large left side, rows with null or heavy keys get
+    a salt, and the right rows of the at most ``MAX_HEAVY_KEYS`` heavy keys are
+    repeated once per salt.
     """
     keys = key_list(keys)
-    salts = fan_out(left.sparkSession)
-    spread = row_salt(left, salts)
     right = right.where(~any_null(keys))
     if is_broadcastable(right) or not is_large(left, split_above):
-        left = left.withColumn(SALT, F.when(any_null(keys), spread).otherwise(F.lit(0)))
-        right = right.withColumn(SALT, F.lit(0))
-    else:
-        heavy = heavy_keys(left.where(~any_null(keys)), keys).withColumn(_HOT, F.lit(True))
-        salt_range = F.sequence(F.lit(0), F.lit(salts - 1))
-        left = (
-            left.join(F.broadcast(heavy), keys, "left")
-            .withColumn(
-                SALT, F.when(any_null(keys) | F.col(_HOT), spread).otherwise(F.lit(0))
-            )
-            .drop(_HOT)
-        )
-        right = (
-            right.join(F.broadcast(heavy), keys, "left")
-            .withColumn(
-                SALT, F.explode(F.when(F.col(_HOT), salt_range).otherwise(F.array(F.lit(0))))
-            )
-            .drop(_HOT)
-        )
-    return left.join(right, [*keys, SALT], how).drop(SALT)
+        return left.join(right, keys, how)
+    salts = fan_out(left.sparkSession)
+    digest = key_hash(keys, _common_kinds(left, right, keys))
+    heavy = heavy_hashes(left.where(~any_null(keys)), digest).withColumn(_HOT, F.lit(True))
+    spread = F.when(any_null(keys) | F.col(_HOT), row_salt(left, salts)).otherwise(F.lit(0))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = F.explode(F.when(F.col(_HOT), every).otherwise(F.array(F.lit(0))))
+
+    def marked(df: DataFrame, salt: Column) -> DataFrame:
+        hashed = df.withColumn(HASH, digest).join(F.broadcast(heavy), HASH, "left")
+        return hashed.withColumn(SALT, salt).drop(HASH, _HOT)
+
+    return marked(left, spread).join(marked(right, repeated), [*keys, SALT], how).drop(SALT)

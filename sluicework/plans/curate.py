@@ -31,6 +31,7 @@ from sluicework.operators.schema import (
 )
 from sluicework.sources.control import read_control
 from sluicework.sources.files import read_files
+from sluicework.sources.scratch import written_out
 from sluicework.sources.sinks import write_partitioned
 from sluicework.sources.versions import read_version, version_path
 
@@ -165,24 +166,14 @@ def load_sources(
     return curated
 
 
-def build_target(
-    spark: SparkSession,
-    sources: Mapping[str, CuratedSource],
-    spec: TargetSpec,
-    current: DataFrame | None = None,
+def assemble_batch(
+    spark: SparkSession, sources: Mapping[str, CuratedSource], spec: TargetSpec
 ) -> DataFrame:
-    """State of the target after a load: assembled, back-filled and merged.
-
-    Without a current state this is the first load.  With several sources a new
-    row may be partial and is completed from the stored one.
-    """
-    fields = [f for source in sources.values() for f in source.fields]
-    fields = [f for f in dict.fromkeys(fields) if f != spec.partition_column]
-    frames = {name: source.rows for name, source in sources.items()}
-    batch = assemble(
+    """Rows the sources give the target."""
+    return assemble(
         spark,
-        frames,
-        fields,
+        {name: source.rows for name, source in sources.items()},
+        _target_fields(sources, spec),
         spec.unique_id,
         spec.id_sql,
         spec.incremental_key,
@@ -191,16 +182,27 @@ def build_target(
         spec.partition_sql,
         spec.from_sql,
     )
-    if current is None:
-        return batch
+
+
+def _target_fields(sources: Mapping[str, CuratedSource], spec: TargetSpec) -> list[str]:
+    fields = dict.fromkeys(f for source in sources.values() for f in source.fields)
+    return [f for f in fields if f != spec.partition_column]
+
+
+def merge_batch(
+    batch: DataFrame,
+    current: DataFrame,
+    sources: Mapping[str, CuratedSource],
+    spec: TargetSpec,
+) -> DataFrame:
+    """State of the target after a batch.
+
+    With several sources a row may be partial and is completed from the stored
+    one first.
+    """
     if len(sources) > 1:
-        batch = backfill(
-            batch,
-            current,
-            spec.unique_id,
-            spec.incremental_key,
-            [*fields, spec.partition_column],
-        )
+        fields = [*_target_fields(sources, spec), spec.partition_column]
+        batch = backfill(batch, current, spec.unique_id, spec.incremental_key, fields)
     if spec.mode == UPSERT:
         return merge_newer(current, batch, spec.unique_id, spec.incremental_key)
     return merge_insert(current, batch, spec.unique_id)
@@ -216,18 +218,25 @@ def load_target(
 ) -> dict[str, int]:
     """Write the next version of a target and return its metrics.
 
-    ``version`` is the current one, None on a first load.  Without source rows
-    nothing is written and there are no metrics.
+    ``version`` is the current one, None on a first load.  Without rows to load
+    nothing is written and there are no metrics.  A batch to merge is written to
+    the scratch folder first: the merge reads it several times, and plans its
+    joins by the size it really has.
     """
     if all(source.candidates.isEmpty() for source in sources.values()):
         return {}
-    current = None if version is None else read_version(spark, spec.path, version, file_format)
-    state = build_target(spark, sources, spec, current)
-    written = 0 if version is None else version + 1
-    path = version_path(spec.path, written)
+    state = assemble_batch(spark, sources, spec)
+    if version is not None:
+        batch = written_out(state)
+        if batch.isEmpty():
+            return {}
+        current = read_version(spark, spec.path, version, file_format)
+        state = merge_batch(batch, current, sources, spec)
+    next_version = 0 if version is None else version + 1
+    path = version_path(spec.path, next_version)
     write_partitioned(state, path, spec.partition_column, shuffle, file_format)
     metrics = table_metrics(spark.read.format(file_format).load(path)).first().asDict()
-    return {**metrics, "version": written}
+    return {**metrics, "version": next_version}
 
 
 def control_update(

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -24,3 +24,10 @@ def scratch_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="sluicework-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)
     return path
+
+
+def written_out(df: DataFrame) -> DataFrame:
+    """The same rows as a table in the scratch folder, computed once."""
+    path = scratch_dir(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from sluicework.operators.dedup import latest_per_key
 from sluicework.operators.merge import merge_newer
 from sluicework.operators.schema import rename_duplicate_columns
+from sluicework.sources.scratch import written_out
 from sluicework.sources.sinks import STAGING_ROWS_PER_FILE, write_partitioned
 from sluicework.sources.versions import read_version, version_path
 
@@ -68,10 +69,9 @@ def _merge_batch(
     path: str, unique_id: str, incremental_key: str, partition_column: str
 ) -> Callable[[DataFrame, int], None]:
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, unique_id, incremental_key, ties="one")
-        if batch_id == 0:
-            state = newest
-        else:
+        state = latest_per_key(batch, unique_id, incremental_key, ties="one")
+        if batch_id > 0:
+            newest = written_out(state)
             current = read_version(batch.sparkSession, path, batch_id - 1)
             state = merge_newer(current, newest, unique_id, incremental_key, unique_source=True)
         write_partitioned(state, version_path(path, batch_id), partition_column)

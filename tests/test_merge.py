@@ -1,0 +1,180 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from sluicework.operators.assemble import assemble, backfill, run_sql
+from sluicework.operators.dedup import latest_per_key
+from sluicework.operators.merge import (
+    change_feed,
+    drop_preimages,
+    duplicate_keys,
+    merge_always,
+    merge_insert,
+    merge_newer,
+)
+
+KIND = "id INT, inc INT, v STRING"
+
+
+@pytest.fixture(scope="module")
+def target(spark):
+    rows = [(1, 5, "t"), (2, 5, "t"), (3, None, "t"), (4, 5, "t"), (None, 5, "t"), (9, 5, "t")]
+    return spark.createDataFrame(rows, KIND)
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    rows = [(1, 6, "s"), (2, 5, "s"), (3, 6, "s"), (4, None, "s"), (None, 9, "s"), (7, 1, "s")]
+    return spark.createDataFrame(rows, KIND)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def expected(*found):
+    return sorted(found, key=str)
+
+
+NULLS = ((None, 5, "t"), (None, 9, "s"))
+
+
+def test_merge_newer(target, source):
+    assert rows(merge_newer(target, source, "id", "inc")) == expected(
+        (1, 6, "s"), (2, 5, "t"), (3, None, "t"), (4, 5, "t"), (9, 5, "t"), (7, 1, "s"), *NULLS
+    )
+
+
+def test_merge_always(target, source):
+    assert rows(merge_always(target, source, "id")) == expected(
+        (1, 6, "s"), (2, 5, "s"), (3, 6, "s"), (4, None, "s"), (9, 5, "t"), (7, 1, "s"), *NULLS
+    )
+
+
+def test_merge_insert(target, source):
+    assert rows(merge_insert(target, source, "id")) == expected(
+        (1, 5, "t"), (2, 5, "t"), (3, None, "t"), (4, 5, "t"), (9, 5, "t"), (7, 1, "s"), *NULLS
+    )
+
+
+def test_unique_source_saves_the_aggregation(target, source):
+    quick = merge_newer(target, source, "id", "inc", unique_source=True)
+    assert rows(quick) == rows(merge_newer(target, source, "id", "inc"))
+    assert "max_by" not in quick._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_is_idempotent(target, source):
+    present = source.where("id IS NOT NULL")
+    once = merge_newer(target, present, "id", "inc")
+    assert rows(merge_newer(once, present, "id", "inc")) == rows(once)
+
+
+def test_target_copies_are_all_updated(spark, target, source):
+    twice = target.unionAll(target.where("id = 1"))
+    assert rows(merge_always(twice, source, "id")).count((1, 6, "s")) == 2
+
+
+def test_ambiguous_source_raises_only_for_updates(spark, target):
+    def batch(*found):
+        return spark.createDataFrame(list(found), KIND)
+
+    both_newer = batch((1, 6, "a"), (1, 7, "b"))
+    for merge, extra in ((merge_newer, ["inc"]), (merge_always, [])):
+        with pytest.raises(PySparkException, match="several source rows"):
+            merge(target, both_newer, "id", *extra).collect()
+    older = batch((1, 1, "a"), (1, 2, "b"))
+    assert rows(merge_newer(target, older, "id", "inc")) == rows(target)
+    new = batch((50, 1, "a"), (50, 2, "b"))
+    assert merge_newer(target, new, "id", "inc").count() == target.count() + 2
+    assert merge_insert(target, both_newer, "id").count() == target.count()
+    assert [tuple(r) for r in duplicate_keys(both_newer, "id").collect()] == [(1, 2)]
+
+
+def test_evolution(spark, target):
+    batch = spark.createDataFrame([(1, 9, 1.5), (7, 9, 2.5)], "id BIGINT, INC INT, extra DOUBLE")
+    merged = merge_newer(target, batch, "id", "inc")
+    assert merged.columns == ["id", "inc", "v", "extra"] and dict(merged.dtypes)["id"] == "int"
+    found = {r["id"]: tuple(r) for r in merged.collect()}
+    assert found[1] == (1, 9, "t", 1.5) and found[7] == (7, 9, None, 2.5) and found[2] == (2, 5, "t", None)
+    assert rows(merge_insert(target, batch, "id").where("id = 7")) == [(7, 9, None, 2.5)]
+    with pytest.raises(ValueError, match="extra"):
+        merge_newer(target, batch, "id", "inc", evolve=False)
+
+
+def test_composite_keys(spark):
+    old = spark.createDataFrame([(1, 1, "t"), (1, None, "t")], "a INT, b INT, v STRING")
+    new = spark.createDataFrame([(1, 1, "s"), (1, None, "s")], "a INT, b INT, v STRING")
+    assert rows(merge_always(old, new, ["a", "b"])) == expected((1, 1, "s"), (1, None, "t"), (1, None, "s"))
+
+
+def test_large_target_is_not_shuffled_for_a_small_batch(spark, target, source, tmp_path):
+    target.write.parquet(str(tmp_path / "t"))
+    source.where("id IS NOT NULL").write.parquet(str(tmp_path / "s"))
+    stored, batch = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    plan = merge_newer(stored, batch, "id", "inc", unique_source=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_change_feed_replays(target, source):
+    before, after = target.where("id IS NOT NULL"), merge_always(target, source, "id").where("id IS NOT NULL")
+    feed = change_feed(before, after, "id")
+    kinds = {r["_change_type"]: r["count"] for r in feed.groupBy("_change_type").count().collect()}
+    assert kinds == {"insert": 1, "update_preimage": 4, "update_postimage": 4}
+    assert drop_preimages(feed).count() == 5
+    replayed = merge_always(before, drop_preimages(feed).drop("_change_type"), "id")
+    assert rows(replayed) == rows(after)
+    assert change_feed(before, before, "id").isEmpty()
+    gone = change_feed(before, before.where("id > 1"), "id")
+    assert rows(gone) == [(1, 5, "t", "delete")]
+
+
+def test_change_feed_counts_copies(spark):
+    one = spark.createDataFrame([(None, "x")], "id INT, v STRING")
+    many = spark.range(25_001).select(F.lit(None).cast("int").alias("id"), F.lit("x").alias("v"))
+    feed = change_feed(one, many, "id")
+    assert feed.count() == 25_000 and feed.where("_change_type != 'insert'").isEmpty()
+
+
+def test_latest_per_key(spark):
+    found = [(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, None, "d"), (None, 1, "e"), (None, 3, "f"), (3, 1, "g")]
+    df = spark.createDataFrame(found, KIND)
+    assert rows(latest_per_key(df, "id", "inc")) == expected((1, 2, "b"), (1, 2, "c"), (None, 3, "f"), (3, 1, "g"))
+    assert rows(latest_per_key(df, "id", "inc", ties="one")) == expected((1, 2, "b"), (None, 3, "f"), (3, 1, "g"))
+    with pytest.raises(ValueError):
+        latest_per_key(df, "id", "inc", ties="some")
+
+
+def test_latest_and_distinct_share_one_shuffle_and_prune_before_it(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, 5, 't'), (2, 5, 't') AS t(id, inc, v)")
+    plan = latest_per_key(rows, "id", "inc").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") < plan.index(", 1, Partial")
+
+
+def test_backfill(spark, target):
+    delta = spark.createDataFrame([(1, 7, None), (9, 7, "d"), (None, 7, None), (50, 7, None)], KIND)
+    assert rows(backfill(delta, target, "id", "inc", ["v", "id"])) == expected(
+        (1, 7, "t"), (9, 7, "d"), (None, 7, None), (50, 7, None)
+    )
+
+
+def test_assemble_and_views(spark, target, source):
+    made = assemble(
+        spark,
+        {"left_side": target.withColumnRenamed("v", "lv"), "right_side": source.withColumnRenamed("v", "rv")},
+        ["lv", "rv", "part"],
+        "uid",
+        "left_side.id",
+        "newest",
+        "greatest(left_side.inc, right_side.inc)",
+        "part",
+        "left_side.id % 2",
+        "left_side JOIN right_side ON left_side.id = right_side.id",
+    )
+    assert made.columns == ["uid", "lv", "rv", "newest", "part"] and made.count() == 4
+    assert not spark.catalog.tableExists("left_side")
+    assert run_sql(spark, {"left_side": target}, "SELECT count(*) AS n FROM left_side").first()["n"] == 6
+    raw_key = assemble(
+        spark, {"s": target}, ["id", "v"], "id", "id + 100", "inc2", "inc", "p", "1", "s"
+    )
+    assert raw_key.columns == ["id", "v", "inc2", "p"] and raw_key.agg(F.max("id")).first()[0] == 9
