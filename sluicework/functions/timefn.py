@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 UTC = "UTC"
 IST = "Asia/Kolkata"
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# The form document stores write: ``2024-06-20T02:35:38.000Z``.
+ISO_MILLIS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z$"
 
 # Strptime directives with an exact Java pattern counterpart.
 STRPTIME_TO_JAVA = {
@@ -34,11 +35,13 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _wall_clock(seconds: Column) -> Column:
-    """UTC wall clock of an epoch second count."""
-    origin = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    zero = F.lit(0)
-    return origin + F.make_dt_interval(zero, zero, zero, seconds.try_cast("decimal(18,6)"))
+def _wall_clock(micros: Column) -> Column:
+    """UTC wall clock of an epoch microsecond count."""
+    return F.timestamp_add("MICROSECOND", micros, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+
+
+def _scaled(value: Column, micros: int) -> Column:
+    return F.try_multiply(value, F.lit(micros).cast("bigint"))
 
 
 def epoch_to_timestamp(epoch_seconds: Column | str) -> Column:
@@ -57,7 +60,8 @@ def utc_to_ist(timestamp: Column | str) -> Column:
 
 
 def epoch_to_ist(epoch_seconds: Column | str) -> Column:
-    return utc_to_ist(_wall_clock(as_column(epoch_seconds).try_cast("bigint")))
+    seconds = as_column(epoch_seconds).try_cast("bigint")
+    return utc_to_ist(_wall_clock(_scaled(seconds, 1_000_000)))
 
 
 def any_epoch_to_ist(epoch: Column | str, keep_millis: bool = False) -> Column:
@@ -66,13 +70,11 @@ def any_epoch_to_ist(epoch: Column | str, keep_millis: bool = False) -> Column:
     Milliseconds are cut to whole seconds unless ``keep_millis`` is set.
     """
     value = as_column(epoch).try_cast("bigint")
-    from_millis = value / F.lit(1000).cast("decimal(4,0)")
+    from_millis = _scaled(value, 1_000)
     if not keep_millis:
-        from_millis = F.floor(from_millis)
-    seconds = F.when(F.abs(value) >= MILLIS_FROM, from_millis.cast("decimal(18,6)")).otherwise(
-        value.try_cast("decimal(18,6)")
-    )
-    return utc_to_ist(_wall_clock(seconds))
+        from_millis = from_millis - F.pmod(from_millis, F.lit(1_000_000))
+    micros = F.when(F.abs(value) >= MILLIS_FROM, from_millis).otherwise(_scaled(value, 1_000_000))
+    return utc_to_ist(_wall_clock(micros))
 
 
 def java_pattern(strptime_format: str) -> str:
@@ -106,8 +108,7 @@ def _parse(text: Column | str, pattern: str) -> Column:
     instant = F.try_to_timestamp(
         F.concat(as_column(text).cast("string"), F.lit(" +00:00")), F.lit(pattern + " XXX")
     )
-    micros = F.unix_micros(instant).cast("decimal(20,0)")
-    return _wall_clock(micros / F.lit(1_000_000).cast("decimal(7,0)"))
+    return _wall_clock(F.unix_micros(instant))
 
 
 def string_to_timestamp(text: Column | str, strptime_format: str) -> Column:
@@ -116,9 +117,12 @@ def string_to_timestamp(text: Column | str, strptime_format: str) -> Column:
 
 
 def string_to_ist(text: Column | str, strptime_format: str | None = None) -> Column:
-    """IST wall clock of a UTC string, by default ``2024-06-20T02:35:38.000Z``."""
-    pattern = ISO_MILLIS if strptime_format is None else java_pattern(strptime_format)
-    return utc_to_ist(_parse(text, pattern))
+    """IST wall clock of a UTC string, by default like ``2024-06-20T02:35:38.000Z``."""
+    if strptime_format is not None:
+        return utc_to_ist(_parse(text, java_pattern(strptime_format)))
+    # A cast of the checked form costs a fraction of parsing it by a pattern.
+    value = as_column(text).cast("string")
+    return utc_to_ist(F.when(value.rlike(ISO_MILLIS), F.substring(value, 1, 23)))
 
 
 def year_frac(from_dt: Column | str, to_dt: Column | str) -> Column:

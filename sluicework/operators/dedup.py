@@ -39,11 +39,14 @@ def latest_per_key(
 
     Ranking with a limit of one lets Spark cut each key to its local winners
     *before* the shuffle.  Only ties can still be many: for large input, the
-    winners of heavy keys are found by aggregation and spread by a salt.
+    winners of heavy keys are found by aggregation and spread by a salt.  Small
+    input drops undated rows last, so that an incremental key that is costly to
+    compute is not computed for a pushed-down filter as well.
     """
     keys = key_list(keys)
-    df = df.where(column(incremental_key).isNotNull())
+    dated = column(incremental_key).isNotNull()
     newest_first = column(incremental_key).desc_nulls_last()
+    first = (F.col(_RANK) == 1) & dated
     if ties == "one":
         others = [
             column(f.name)
@@ -51,15 +54,15 @@ def latest_per_key(
             if f.name not in (*keys, incremental_key) and is_orderable(f.dataType)
         ]
         by_key = Window.partitionBy(*map(column, keys)).orderBy(newest_first, *others)
-        return df.withColumn(_RANK, F.row_number().over(by_key)).where(f"{_RANK} = 1").drop(_RANK)
+        return df.withColumn(_RANK, F.row_number().over(by_key)).where(first).drop(_RANK)
     if ties != "all":
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
     groups = list(map(column, keys))
     if is_large(df, split_above):
-        df = _spread_heavy_winners(df, keys, incremental_key)
+        df = _spread_heavy_winners(df.where(dated), keys, incremental_key)
         groups.append(F.col(SALT))
     by_key = Window.partitionBy(*groups).orderBy(newest_first)
-    return df.withColumn(_RANK, F.rank().over(by_key)).where(f"{_RANK} = 1").drop(_RANK, SALT)
+    return df.withColumn(_RANK, F.rank().over(by_key)).where(first).drop(_RANK, SALT)
 
 
 def _spread_heavy_winners(df: DataFrame, keys: list[str], incremental_key: str) -> DataFrame:

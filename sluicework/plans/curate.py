@@ -111,10 +111,9 @@ def curate_source(
     flat = flatten_documents(rename_duplicate_columns(raw), spec.arrays)
     mapped, missed = apply_mapping(apply_filters(flat, spec.filters), rules, as_of)
     fields = mapped_fields(rules, missed)
-    candidates = select_with_key(mapped, fields, spec.unique_id, spec.unique_sql).where(
-        column(spec.incremental_key).isNotNull()
-    )
-    rows = latest_per_key(candidates, spec.unique_id, spec.incremental_key).distinct()
+    selected = select_with_key(mapped, fields, spec.unique_id, spec.unique_sql)
+    rows = latest_per_key(selected, spec.unique_id, spec.incremental_key).distinct()
+    candidates = selected.where(column(spec.incremental_key).isNotNull())
     if spec.keep_unique_id and spec.unique_id not in fields:
         fields.append(spec.unique_id)
     kept = [

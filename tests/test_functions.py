@@ -61,6 +61,8 @@ def test_string_formats(spark):
     assert fn.java_pattern("%Y-%m-%dT%H o'clock") == "yyyy'-'MM'-'dd'T'HH' o''clock'"
     assert value(spark, fn.string_to_timestamp(F.lit("20/06/24 x"), "%d/%m/%Y")) is None
     assert value(spark, fn.string_to_timestamp(F.lit(None).cast("string"), "%d/%m/%Y")) is None
+    for bad in ("2024-06-20T02:35:38Z", "2024-02-30T02:35:38.000Z", "2024-06-20T24:00:00.000Z", "2024-06-20 02:35:38.000"):
+        assert value(spark, fn.string_to_ist(F.lit(bad))) is None
     assert value(spark, fn.string_to_ist(F.lit("20240620"), "%Y%m%d")) == datetime(2024, 6, 20, 5, 30)
     with pytest.raises(ValueError, match="%j"):
         fn.java_pattern("%Y-%j")
