@@ -81,6 +81,7 @@ def _merge(
     is_newer: Callable[[Column], Column],
     unique_source: bool,
     evolve: bool,
+    fill_nulls: bool,
     split_above: int | None,
 ) -> DataFrame:
     _check_evolution(target, source, evolve)
@@ -107,6 +108,7 @@ def _merge(
         new = F.col(_ROW).getField(theirs)
         old = column(ours) if ours else F.lit(None)
         new = new.cast(kinds[ours]) if ours else new
+        new = F.coalesce(new, old) if fill_nulls else new
         updated.append(F.when(F.col(_UPDATE), new).otherwise(old).alias(name))
     inserts = _insertable(target, _new_rows(target, source, keys, split_above))
     return joined.select(*updated).unionByName(inserts)
@@ -119,6 +121,7 @@ def merge_newer(
     incremental_key: str,
     unique_source: bool = False,
     evolve: bool = True,
+    fill_nulls: bool = False,
     split_above: int | None = None,
 ) -> DataFrame:
     """Update matched rows whose source is newer, insert unmatched source rows.
@@ -128,6 +131,10 @@ def merge_newer(
     source lacks keep their value, null for inserted rows.  Several source rows
     for one updated row raise; ``unique_source`` promises there are none and
     saves the aggregation that finds out.
+
+    With ``fill_nulls``, an update keeps the stored value where the source has
+    null: the same as back-filling the source first, but the stored table is
+    read and joined once less.
     """
     return _merge(
         target,
@@ -137,6 +144,7 @@ def merge_newer(
         lambda row: row.getField(incremental_key) > column(incremental_key),
         unique_source,
         evolve,
+        fill_nulls,
         split_above,
     )
 
@@ -158,6 +166,7 @@ def merge_always(
         lambda row: F.lit(True),
         unique_source,
         evolve,
+        False,
         split_above,
     )
 

@@ -24,15 +24,19 @@ from sluicework.operators.schema import column
 
 # A shuffle below this planned size fits one task even if it has only one key.
 SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
-# At most this many keys are salted, so what is broadcast stays this small.
-MAX_HEAVY_KEYS = 64
-# A key is heavy from this share of all rows on.
-HEAVY_SHARE = 0.005
+# At most this many keys are salted, so what is broadcast stays this small; no
+# more keys than this can have the least share that counts as heavy.
+MAX_HEAVY_KEYS = 2_000
+LEAST_HEAVY_SHARE = 1 / MAX_HEAVY_KEYS
+# A key is heavy if it fills this many average shuffle partitions.
+_HEAVY_PARTITIONS = 2
+# Salts per average shuffle partition: more even out how salts fall to tasks.
+_SALTS_PER_PARTITION = 4
 _SKETCH_ITEMS = 10_000
 
 SALT = "__salt"
 HASH = "__hash"
-_HOT = "__hot"
+SALTS = "__salts"
 
 
 def key_list(keys: str | Sequence[str]) -> list[str]:
@@ -68,7 +72,7 @@ def _bytes_conf(spark: SparkSession, name: str) -> int:
 
 
 def fan_out(spark: SparkSession) -> int:
-    """Number of salts: a heavy key may use every shuffle partition."""
+    """How many tasks a shuffle has to spread rows over."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -80,11 +84,11 @@ def is_orderable(kind: DataType) -> bool:
     return not isinstance(kind, MapType)
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
+def row_salt(df: DataFrame, salts: Column | int) -> Column:
     """A salt that spreads distinct rows by content and equal rows by map task."""
     content = [column(f.name) for f in df.schema.fields if is_orderable(f.dataType)]
     digest = F.xxhash64(*content, F.spark_partition_id()) if content else F.spark_partition_id()
-    return F.pmod(digest, F.lit(salts)).cast("int")
+    return F.pmod(digest, F.lit(salts).cast("bigint")).cast("int")
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -96,19 +100,25 @@ def key_hash(keys: Sequence[str], kinds: Sequence[DataType]) -> Column:
 
 
 def heavy_hashes(df: DataFrame, digest: Column) -> DataFrame:
-    """Hashes of the heavy keys of ``df``, at most ``MAX_HEAVY_KEYS`` rows.
+    """Hashes of heavy keys, at most ``MAX_HEAVY_KEYS``, and the salts each should have.
 
     One scan of the key columns folds every row into a mergeable sketch of fixed
-    size.  Whatever else shares a hash is treated as heavy too.
+    size.  Whatever else shares a hash is treated as heavy too.  Salts follow the
+    rows of a key, so all keys together have a few per shuffle partition.
     """
+    tasks = fan_out(df.sparkSession)
     sketch = df.select(digest.alias(HASH)).agg(
         F.expr(f"approx_top_k({HASH}, {MAX_HEAVY_KEYS}, {_SKETCH_ITEMS})").alias("top"),
         F.count(F.lit(1)).alias("rows"),
     )
+    share = F.col("count") / F.col("rows")
     return (
         sketch.select("rows", F.inline("top"))
-        .where(F.col("count") >= F.col("rows") * HEAVY_SHARE)
-        .select(F.col("item").alias(HASH))
+        .where(share >= max(_HEAVY_PARTITIONS / tasks, LEAST_HEAVY_SHARE))
+        .select(
+            F.col("item").alias(HASH),
+            F.ceil(share * tasks * _SALTS_PER_PARTITION).cast("int").alias(SALTS),
+        )
     )
 
 
@@ -128,22 +138,24 @@ def lookup_join(
 
     ``how`` is ``left``, ``left_semi`` or ``left_anti``; null keys match nothing.
     If the join will shuffle a large left side, rows with null or heavy keys get
-    a salt, and the right rows of the at most ``MAX_HEAVY_KEYS`` heavy keys are
-    repeated once per salt.
+    a salt, and the right rows of heavy keys are repeated once per salt.
     """
     keys = key_list(keys)
     right = right.where(~any_null(keys))
     if is_broadcastable(right) or not is_large(left, split_above):
         return left.join(right, keys, how)
-    salts = fan_out(left.sparkSession)
     digest = key_hash(keys, _common_kinds(left, right, keys))
-    heavy = heavy_hashes(left.where(~any_null(keys)), digest).withColumn(_HOT, F.lit(True))
-    spread = F.when(any_null(keys) | F.col(_HOT), row_salt(left, salts)).otherwise(F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = F.explode(F.when(F.col(_HOT), every).otherwise(F.array(F.lit(0))))
+    heavy = heavy_hashes(left.where(~any_null(keys)), digest)
+    salts = (
+        F.when(any_null(keys), F.lit(fan_out(left.sparkSession)))
+        .when(F.col(SALTS).isNotNull(), F.col(SALTS))
+        .otherwise(F.lit(1))
+    )
+    spread = F.when(salts > 1, row_salt(left, salts)).otherwise(F.lit(0))
+    repeated = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1))
 
     def marked(df: DataFrame, salt: Column) -> DataFrame:
         hashed = df.withColumn(HASH, digest).join(F.broadcast(heavy), HASH, "left")
-        return hashed.withColumn(SALT, salt).drop(HASH, _HOT)
+        return hashed.withColumn(SALT, salt).drop(HASH, SALTS)
 
     return marked(left, spread).join(marked(right, repeated), [*keys, SALT], how).drop(SALT)

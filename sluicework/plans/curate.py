@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.operators.assemble import assemble, backfill
+from sluicework.operators.assemble import assemble
 from sluicework.operators.dedup import latest_per_key
 from sluicework.operators.layout import table_metrics
 from sluicework.operators.mapping import (
@@ -142,7 +142,7 @@ def load_sources(
     targets = explode_targets(mapping)
     check_targets(targets, target)
     curated = {}
-    for database, collection, config in mapping_sources(targets, target).collect():
+    for database, collection, config in sorted(mapping_sources(targets, target).collect()):
         details = read_control(configs[config], collection, database)
         raw = read_files(
             spark,
@@ -196,15 +196,15 @@ def merge_batch(
 ) -> DataFrame:
     """State of the target after a batch.
 
-    With several sources a row may be partial and is completed from the stored
-    one first.
+    With several sources a row may be partial: an update then keeps stored
+    values where the row has none.
     """
-    if len(sources) > 1:
-        fields = [*_target_fields(sources, spec), spec.partition_column]
-        batch = backfill(batch, current, spec.unique_id, spec.incremental_key, fields)
-    if spec.mode == UPSERT:
-        return merge_newer(current, batch, spec.unique_id, spec.incremental_key)
-    return merge_insert(current, batch, spec.unique_id)
+    if spec.mode != UPSERT:
+        return merge_insert(current, batch, spec.unique_id)
+    partial = len(sources) > 1
+    return merge_newer(
+        current, batch, spec.unique_id, spec.incremental_key, fill_nulls=partial
+    )
 
 
 def load_target(
@@ -220,7 +220,8 @@ def load_target(
     ``version`` is the current one, None on a first load.  Without rows to load
     nothing is written and there are no metrics.  A batch to merge is written to
     the scratch folder first: the merge reads it several times, and plans its
-    joins by the size it really has.
+    joins by the size it really has.  Only a first load shuffles to lay out its
+    files; a merge leaves rows with the task that read them.
     """
     if all(source.candidates.isEmpty() for source in sources.values()):
         return {}
@@ -233,7 +234,8 @@ def load_target(
         state = merge_batch(batch, current, sources, spec)
     next_version = 0 if version is None else version + 1
     path = version_path(spec.path, next_version)
-    write_partitioned(state, path, spec.partition_column, shuffle, file_format)
+    first = version is None
+    write_partitioned(state, path, spec.partition_column, shuffle and first, file_format)
     metrics = table_metrics(spark.read.format(file_format).load(path)).first().asDict()
     return {**metrics, "version": next_version}
 

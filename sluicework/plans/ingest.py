@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from sluicework.operators.schema import rename_duplicate_columns
+from sluicework.sources.control import NEVER_LOADED
 from sluicework.sources.files import read_files
 from sluicework.sources.sinks import (
     INGEST_COLUMNS,
@@ -26,8 +27,8 @@ def ingest(
     ingested_at: Column | datetime,
     file_format: str = "json",
     **options: str,
-) -> None:
-    """Append any scan to raw files partitioned by the hour of ingestion.
+) -> int:
+    """Append any scan to raw files partitioned by the hour of ingestion; returns the rows.
 
     One time for all rows needs no shuffle.  A time per row brings the rows of
     an hour together first, or every task would write a file for every hour.
@@ -35,7 +36,7 @@ def ingest(
     rows = with_ingest_columns(df, ingested_at)
     if isinstance(ingested_at, Column):
         rows = rows.hint("rebalance", *INGEST_COLUMNS)
-    write_sized(
+    return write_sized(
         rows, path, file_format=file_format, partition_by=INGEST_COLUMNS, **options
     )
 
@@ -48,10 +49,11 @@ def stage(
     file_format: str,
     day: str | None = None,
     **scan,
-) -> None:
-    """Append the rows of changed files to staging, names repaired.
+) -> int:
+    """Append the rows of changed files to staging, names repaired; returns the rows.
 
     Staged sources have no envelope.
     """
     raw = read_files(spark, src_path, modified_after, file_format, "kafka", **scan)
-    write_staging(rename_duplicate_columns(raw), final_path, day)
+    first_load = modified_after is None or modified_after == NEVER_LOADED
+    return write_staging(rename_duplicate_columns(raw), final_path, day, first_load)

@@ -18,6 +18,7 @@ from sluicework.sources.versions import version_path
 from sluicework.streaming.increments import file_stream, stream_merge, stream_staging
 
 INGESTED_AT = datetime(2024, 6, 20, 7, 5)
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def scan_incremental(spark, sf_dir):
@@ -77,8 +78,7 @@ SELECT o_orderkey AS key, o_custkey AS cust, o_totalprice AS price, o_orderstatu
 
 def ingested(spark, sf_dir):
     path = raw_path(scratch_dir(spark), "mongo", "Shop", "Events")
-    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ingest(table(spark, sf_dir, "events"), path, INGESTED_AT, timestampNTZFormat=micros)
+    ingest(table(spark, sf_dir, "events"), path, INGESTED_AT, timestampNTZFormat=MICROS)
     types = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
     return read_files(spark, path, None, "json", source="kafka", schema=types)
 
@@ -87,10 +87,11 @@ def raw_partitions(spark, sf_dir):
     """Events partitioned by their own hour, found again as partition columns."""
     path = scratch_dir(spark)
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    ingest(events, path, F.col("ts"), file_format="parquet")
+    ingest(events, path, F.col("ts"), timestampNTZFormat=MICROS)
     return (
-        spark.read.parquet(path)
-        .groupBy(*[F.col(c).cast("int").alias(c) for c in sinks.INGEST_COLUMNS])
+        spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, " + ", ".join(f"{c} INT" for c in sinks.INGEST_COLUMNS))
+        .json(path)
+        .groupBy(*sinks.INGEST_COLUMNS)
         .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_at"))
     )
 

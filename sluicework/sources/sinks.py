@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sluicework.operators.merge import merge_insert, merge_newer
@@ -26,11 +26,17 @@ def write_sized(
     rows_per_file: int = INGEST_ROWS_PER_FILE,
     partition_by: Sequence[str] = (),
     **options: str,
-) -> None:
-    """Write files of at most ``rows_per_file`` rows in one pass, without a count."""
-    writer = df.write.mode(mode).format(file_format).options(**options)
+) -> int:
+    """Write files of at most ``rows_per_file`` rows; returns the rows.
+
+    One pass: rows are counted as they are written.
+    """
+    counted = Observation()
+    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.mode(mode).format(file_format).options(**options)
     writer = writer.option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    return counted.get.get("rows", 0)
 
 
 def write_counted(
@@ -61,19 +67,20 @@ def with_ingest_columns(df: DataFrame, ingested_at: Column | datetime) -> DataFr
     )
 
 
-def write_staging(df: DataFrame, path: str, day: str | None = None) -> None:
-    """Append gzip JSON to a dated folder.
+def write_staging(
+    df: DataFrame, path: str, day: str | None = None, first_load: bool = False
+) -> int:
+    """Append gzip JSON to a dated folder; returns the rows.
 
-    Rebalancing sizes the output by its bytes: a small increment becomes one
-    file, a first load as many as it needs.
+    An increment is rebalanced, which makes few files of many small ones.  A
+    first load is written from where it was read, without a shuffle.
     """
     day = day or datetime.now().strftime("%Y-%m-%d")
-    (
-        df.hint("rebalance")
-        .write.mode("append")
-        .option("maxRecordsPerFile", STAGING_ROWS_PER_FILE)
-        .option("compression", "gzip")
-        .json(f"{path.rstrip('/')}/{day}/")
+    return write_sized(
+        df if first_load else df.hint("rebalance"),
+        f"{path.rstrip('/')}/{day}/",
+        rows_per_file=STAGING_ROWS_PER_FILE,
+        compression="gzip",
     )
 
 

@@ -74,6 +74,8 @@ def _merge_batch(
             newest = written_out(state)
             current = read_version(batch.sparkSession, path, batch_id - 1)
             state = merge_newer(current, newest, unique_id, incremental_key, unique_source=True)
-        write_partitioned(state, version_path(path, batch_id), partition_column)
+        write_partitioned(
+            state, version_path(path, batch_id), partition_column, shuffle=batch_id == 0
+        )
 
     return merge

@@ -45,6 +45,14 @@ def test_merge_newer(target, source):
     )
 
 
+def test_filling_nulls_equals_backfill_then_merge(spark, target):
+    partial = spark.createDataFrame([(1, 7, None), (2, 7, "d"), (3, 7, None), (50, 7, None), (None, 7, None)], KIND)
+    filled = merge_newer(target, partial, "id", "inc", fill_nulls=True)
+    completed = backfill(partial, target, "id", "inc", ["v"])
+    assert rows(filled) == rows(merge_newer(target, completed, "id", "inc"))
+    assert (1, 7, "t") in rows(filled) and (50, 7, None) in rows(filled)
+
+
 def test_merge_always(target, source):
     assert rows(merge_always(target, source, "id")) == expected(
         (1, 6, "s"), (2, 5, "s"), (3, 6, "s"), (4, None, "s"), (9, 5, "t"), (7, 1, "s"), *NULLS

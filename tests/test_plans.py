@@ -1,0 +1,118 @@
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluicework.operators.mapping import FieldRule
+from sluicework.plans.analytics import analytics_inputs, analytics_rows
+from sluicework.plans.curate import (
+    CuratedSource,
+    SourceSpec,
+    TargetSpec,
+    curate_source,
+    load_target,
+    merge_batch,
+)
+from sluicework.sources.versions import read_version
+from sluicework.streaming.increments import file_stream, stream_merge
+
+SPEC = TargetSpec("t", "uid", "id", "changed", "at", "p", "'x'", "src")
+
+
+def source(rows, fields=("id", "v")):
+    return CuratedSource(rows, rows, list(fields), [])
+
+
+def test_curated_source(spark):
+    raw = spark.sql(
+        "SELECT * FROM VALUES (1, named_struct('At', '2024-01-01 00:00:00'), 'keep', 'a'), "
+        "(1, named_struct('At', '2024-01-02 00:00:00'), 'KEEP', 'b'), "
+        "(1, named_struct('At', '2024-01-02 00:00:00'), 'Keep', 'b'), "
+        "(2, named_struct('At', NULL), 'keep', 'c'), "
+        "(3, named_struct('At', '2024-01-01 00:00:00'), 'drop', 'd') AS t(ID, Meta, Kind, V)"
+    )
+    rules = [
+        FieldRule("meta_at", "at", "udf_utc_to_ist", datatype="string"),
+        FieldRule("v", "v", datatype="string"),
+        FieldRule("nope", "nope"),
+    ]
+    filters = [{"column": "kind", "value": "keep"}]
+    made = curate_source(raw, rules, SourceSpec("key", "at", "concat('k', id)", filters))
+    assert made.missed == ["nope"] and made.fields == ["v"]
+    assert [tuple(r) for r in made.rows.collect()] == [(datetime(2024, 1, 2, 5, 30), "b", "k1")]
+    kept = curate_source(raw, rules, SourceSpec("key", "at", "concat('k', id)", filters, keep_unique_id=True))
+    assert kept.fields == ["v", "key"]
+    override = [{"column": "kind", "value": "keep", "unique_id": "v", "incremental_key": "at"}]
+    assert curate_source(raw, rules, SourceSpec("key", "none", filters=override)).rows.columns == ["at", "v"]
+
+
+def test_loads_make_versions(spark, tmp_path):
+    spec = replace(SPEC, path=str(tmp_path / "t"))
+    rows = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "id INT, at INT, v STRING")
+    nothing = {"src": source(rows.where("false"))}
+    assert load_target(spark, nothing, spec, None) == {}
+    first = load_target(spark, {"src": source(rows)}, spec, None)
+    assert first["version"] == 0 and first["row_count"] == 2
+    later = spark.createDataFrame([(2, 2, None), (3, 2, "c")], "id INT, at INT, v STRING")
+    second = load_target(spark, {"src": source(later)}, spec, 0)
+    assert second["version"] == 1 and second["row_count"] == 3
+    found = read_version(spark, spec.path, 1).select("uid", "changed", "v").collect()
+    assert sorted(map(tuple, found)) == [(1, 1, "a"), (2, 2, None), (3, 2, "c")]
+    absent = replace(spec, from_sql="(SELECT * FROM src WHERE id > 100) s")
+    assert load_target(spark, {"src": source(later)}, absent, 1) == {}
+
+    control = spark.createDataFrame(
+        [("t", spec.path, 1, "uid", "2024")],
+        "name STRING, path STRING, version INT, unique_id STRING, last_modified STRING",
+    )
+    inputs = analytics_inputs(spark, control, "t", first_load=False)
+    kinds = analytics_rows(spark, inputs, "SELECT _change_type AS k, count(*) AS n FROM t GROUP BY 1")
+    assert sorted(map(tuple, kinds.collect())) == [("insert", 1), ("update_postimage", 1)]
+    assert analytics_inputs(spark, control, " t", first_load=True)["t"].count() == 3
+
+
+def test_modes_and_partial_rows(spark):
+    current = spark.createDataFrame([(1, 1, "a", "p")], "uid INT, changed INT, v STRING, p STRING")
+    batch = spark.createDataFrame([(1, 2, None, None), (2, 2, "b", "q")], "uid INT, changed INT, v STRING, p STRING")
+    one, two = {"a": source(batch)}, {"a": source(batch), "b": source(batch)}
+
+    def merged(sources, spec):
+        return sorted(map(tuple, merge_batch(batch, current, sources, spec).collect()))
+
+    assert merged(one, SPEC) == [(1, 2, None, None), (2, 2, "b", "q")]
+    assert merged(two, SPEC) == [(1, 2, "a", "p"), (2, 2, "b", "q")]
+    assert merged(two, replace(SPEC, mode="append")) == [(1, 1, "a", "p"), (2, 2, "b", "q")]
+
+
+def test_target_spec_of_a_control_row():
+    row = dict(
+        name="t", unique_id="u", id_sql="i", incremental_key="k", incremental_sql="x", partition_columns="p",
+        partition_sql="y", from_sql="f", mode="append", path="/t",
+    )
+    assert TargetSpec.from_control(row) == TargetSpec("t", "u", "i", "k", "x", "p", "y", "f", "append", "/t")
+
+
+def test_repeated_micro_batch_gives_the_same_version(spark, tmp_path):
+    raw, table = str(tmp_path / "raw"), str(tmp_path / "table")
+    kind = "id INT, at INT, p STRING"
+    for n, rows in enumerate([[(1, 1, "a"), (1, 2, "a")], [(1, 1, "b"), (2, 1, "b")]]):
+        spark.createDataFrame(rows, kind).write.mode("append").parquet(raw)
+        for checkpoint in ("one", "one"):
+            stream = file_stream(spark, raw, "parquet", kind)
+            stream_merge(stream, table, "id", "at", "p", str(tmp_path / checkpoint)).awaitTermination()
+    found = read_version(spark, table, 1).select("id", "at", "p").collect()
+    assert sorted(map(tuple, found)) == [(1, 2, "a"), (2, 1, "b")]
+    with pytest.raises(Exception):
+        read_version(spark, table, 2)
+
+
+def test_rows_of_a_merge_stay_with_their_task(spark, tmp_path):
+    """A broadcast batch leaves no shuffle between the stored table and its next version."""
+    big, small = str(tmp_path / "big"), str(tmp_path / "small")
+    spark.range(1000).select(F.col("id").alias("uid"), F.lit(1).alias("changed"), F.lit("p").alias("p")).write.parquet(big)
+    spark.range(5).select(F.col("id").alias("uid"), F.lit(2).alias("changed"), F.lit("p").alias("p")).write.parquet(small)
+    stored, batch = spark.read.parquet(big), spark.read.parquet(small)
+    plan = merge_batch(batch, stored, {"s": source(batch)}, SPEC)._jdf.queryExecution().executedPlan().toString()
+    top = plan[: plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in top and "SortMergeJoin" not in plan

@@ -29,7 +29,9 @@ def largest_share(df):
 
 def test_sketch_finds_the_hot_keys(hot):
     digest = skew.key_hash(["key"], [hot.schema["key"].dataType])
-    found = {r[0] for r in skew.heavy_hashes(hot, digest).collect()}
+    heavy = skew.heavy_hashes(hot, digest).collect()
+    found = {r[skew.HASH] for r in heavy}
+    assert all(5 <= r[skew.SALTS] <= 20 for r in heavy)
     expected = hot.where("key = 7 OR key IS NULL").select(digest).distinct().collect()
     assert found == {r[0] for r in expected}
 

@@ -64,7 +64,8 @@ def test_mongo_options():
 
 def test_sized_and_counted_writes(spark, tmp_path):
     rows = spark.range(0, 250, 1, 1)
-    sinks.write_sized(rows, str(tmp_path / "sized"), rows_per_file=100)
+    assert sinks.write_sized(rows, str(tmp_path / "sized"), rows_per_file=100) == 250
+    assert sinks.write_sized(rows.where("false"), str(tmp_path / "empty")) == 0
     assert len(files(tmp_path / "sized")) == 3
     assert sinks.write_counted(rows, str(tmp_path / "counted"), rows_per_file=100) == 250
     assert len(files(tmp_path / "counted")) == 3
@@ -82,7 +83,10 @@ def test_ingest_partitions(spark, tmp_path):
 
 def test_staging_is_dated_gzip(spark, tmp_path):
     spark.range(10).toDF("ID").write.json(str(tmp_path / "in"))
-    stage(spark, str(tmp_path / "in"), str(tmp_path / "out"), control.NEVER_LOADED, "json", day="2024-01-02")
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    assert stage(spark, source, target, "2020-01-01T00:00:00", "json", day="2024-01-02") == 10
+    assert stage(spark, source, target, control.NEVER_LOADED, "json", day="2024-01-01") == 10
+    assert len(files(tmp_path / "out" / "2024-01-01")) > 1
     found = files(tmp_path / "out" / "2024-01-02")
     assert len(found) == 1 and found[0].endswith(".json.gz")
     assert spark.read.json(str(tmp_path / "out" / "2024-01-02")).columns == ["id"]
