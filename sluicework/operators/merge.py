@@ -201,11 +201,17 @@ def change_feed(
 
     Rows are netted by their whole content, which drops everything unchanged by
     partial aggregation and never pairs rows of a key.  What is left counts as an
-    update where a key occurs on both sides, else as insert or delete.
+    update where a key occurs on both sides, else as insert or delete.  Columns
+    that are new in ``after`` were null before.
     """
     keys = key_list(keys)
     names = after.columns
-    signed = before.select(*map(column, names), F.lit(-1).alias(_NET)).unionAll(
+    known = {c.lower() for c in before.columns}
+    earlier = [
+        column(f.name) if f.name.lower() in known else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in after.schema.fields
+    ]
+    signed = before.select(*earlier, F.lit(-1).alias(_NET)).unionAll(
         after.select(*map(column, names), F.lit(1).alias(_NET))
     )
     changed = (

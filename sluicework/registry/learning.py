@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from sluicework.operators import learn
@@ -47,18 +47,19 @@ def split_sizes(spark, sf_dir):
 
 
 SPLIT_SIZES = """
-SELECT kind, count(*) AS n, CAST(0.3 AS DOUBLE) AS test_share
-FROM orders, (VALUES ('key'), ('random')) AS kinds(kind) GROUP BY kind
+SELECT 'key' AS kind, count(*) AS n, CAST(0.3 AS DOUBLE) AS test_share FROM orders
+UNION ALL SELECT 'random', count(*), CAST(0.3 AS DOUBLE) FROM orders
 """
 
 
 def _labelled(spark, sf_dir):
+    """Whole embeddings as features of a two-class problem."""
     vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", (F.col("label") > 4).cast("double").alias("label"), "embedding"
+        "vec_id",
+        (F.col("label") > 4).cast("double").alias("label"),
+        array_to_vector("embedding").alias("vector"),
     )
-    columns = [F.col("embedding")[i].alias(f"x{i}") for i in range(8)]
-    wide = vectors.select("vec_id", "label", *columns)
-    return learn.vectorize(wide, [f"x{i}" for i in range(8)]).select("vec_id", "label", "features")
+    return learn.vectorize(vectors, ["vector"]).select("vec_id", "label", "features")
 
 
 def train_lr(spark, sf_dir):
@@ -69,7 +70,8 @@ def train_lr(spark, sf_dir):
 
 def train_mlp(spark, sf_dir):
     data = _labelled(spark, sf_dir)
-    model = learn.nn(data, [8, 6, 2], random_state=1, maxIter=20)
+    width = table(spark, sf_dir, "embeddings").select(F.size("embedding")).first()[0]
+    model = learn.nn(data, [width, 6, 2], random_state=1, maxIter=20)
     return model.transform(data).select("vec_id", "label", "prediction")
 
 

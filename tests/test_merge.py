@@ -136,6 +136,13 @@ def test_change_feed_replays(target, source):
     assert rows(gone) == [(1, 5, "t", "delete")]
 
 
+def test_change_feed_after_evolution(spark, target):
+    before = target.where("id < 3")
+    after = before.withColumn("extra", F.when(F.col("id") == 1, F.lit(1.5)))
+    feed = change_feed(before, after, "id")
+    assert rows(feed) == expected((1, 5, "t", None, "update_preimage"), (1, 5, "t", 1.5, "update_postimage"))
+
+
 def test_change_feed_counts_copies(spark):
     one = spark.createDataFrame([(None, "x")], "id INT, v STRING")
     many = spark.range(25_001).select(F.lit(None).cast("int").alias("id"), F.lit("x").alias("v"))
