@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DateType, StringType, TimestampNTZType
 
 from sluicework.operators.schema import column
 from sluicework.operators.skew import row_salt
@@ -14,6 +16,10 @@ from sluicework.operators.skew import row_salt
 TARGET_FILE_BYTES = 104_857_600
 
 _TIE = "__tie"
+_PLACE = "__place"
+_RANK_BITS = 8
+_TEXT_BYTES = 7
+_LEAST = -sys.float_info.max
 
 
 def file_sizes(df: DataFrame) -> DataFrame:
@@ -37,26 +43,73 @@ def compact(
     df: DataFrame,
     table_bytes: int,
     cluster_by: Sequence[str] = (),
+    partition_column: str | None = None,
     file_bytes: int = TARGET_FILE_BYTES,
 ) -> DataFrame:
     """Repartition a table of known size to files of about ``file_bytes``.
 
-    With ``cluster_by``, files hold ranges of these columns and rows are sorted
-    by them.  A range may end inside equal values, so a value that fills many
-    files is split over as many tasks.
+    With ``cluster_by``, files hold rows that are close in all of these columns:
+    by value for one, along a Z-order curve for several.  Rows of a partition
+    value stay together.  A range may end inside equal values, so a value that
+    fills many files is split over as many tasks.
     """
     files = max(1, -(-table_bytes // file_bytes))
-    if not cluster_by:
+    first = [column(partition_column)] if partition_column else []
+    if not first and not cluster_by:
         return df.repartition(files)
-    clusters = [column(c) for c in cluster_by]
+    place = [column(c) for c in cluster_by]
+    if len(place) > 1:
+        df = with_z_order(df, cluster_by)
+        place = [F.col(_PLACE)]
     return (
         df.withColumn(_TIE, row_salt(df, 2**31 - 1))
-        .repartitionByRange(files, *clusters, F.col(_TIE))
-        .drop(_TIE)
-        .sortWithinPartitions(*clusters)
+        .repartitionByRange(files, *first, *place, F.col(_TIE))
+        .sortWithinPartitions(*first, *place)
+        .drop(_TIE, _PLACE)
     )
 
 
+def with_z_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add the place of each row on a Z-order curve: interleaved bits of ranks.
+
+    Ranks are approximate quantiles, so every column splits evenly whatever its
+    values.  One job over the columns finds the quantiles.
+    """
+    from pyspark.ml.feature import QuantileDiscretizer
+
+    bits = min(_RANK_BITS, 62 // len(columns))
+    scales = [f"__scale_{i}" for i in range(len(columns))]
+    ranks = [f"__rank_{i}" for i in range(len(columns))]
+    scaled = df.select("*", *[_scale(df, c).alias(s) for c, s in zip(columns, scales)])
+    ranked = (
+        # One value is left for what has no rank.
+        QuantileDiscretizer(
+            inputCols=scales, outputCols=ranks, numBuckets=2**bits - 1, handleInvalid="keep"
+        )
+        .fit(scaled)
+        .transform(scaled)
+    )
+    place = F.lit(0).cast("bigint")
+    for i, rank in enumerate(ranks):
+        for bit in range(bits):
+            one = F.shiftright(F.col(rank).cast("bigint"), bit).bitwiseAND(1)
+            place = place + F.shiftleft(one, bit * len(columns) + i)
+    return ranked.withColumn(_PLACE, place).drop(*scales, *ranks)
+
+
+def _scale(df: DataFrame, name: str) -> Column:
+    """A number that orders like the column, null least; of text, its first bytes."""
+    kind, value = df.schema[name].dataType, column(name)
+    if isinstance(kind, (StringType, BinaryType)):
+        head = F.hex(F.substring(value.cast("binary"), 1, _TEXT_BYTES))
+        value = F.conv(F.rpad(head, 2 * _TEXT_BYTES, "0"), 16, 10)
+    elif isinstance(kind, TimestampNTZType):
+        value = value.cast("timestamp")
+    elif isinstance(kind, DateType):
+        value = F.unix_date(value)
+    return F.coalesce(value.cast("double"), F.lit(_LEAST))
+
+
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """The same rows, kept as reliable checkpoint files in the session's folder."""
     spark = spark or df.sparkSession

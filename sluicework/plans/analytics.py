@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicework.operators.assemble import run_sql
+from sluicework.operators.merge import merge_always, merge_newer
 from sluicework.sources.control import read_control
-from sluicework.sources.versions import read_changes
+from sluicework.sources.scratch import written_out
+from sluicework.sources.versions import read_changes, read_version, write_version
 
 
 def analytics_inputs(
@@ -36,3 +38,27 @@ def analytics_rows(
 ) -> DataFrame:
     """User SQL over the inputs."""
     return run_sql(spark, inputs, query)
+
+
+def load_analytics(
+    rows: DataFrame,
+    path: str,
+    version: int | None,
+    unique_id: str,
+    partition_column: str,
+    incremental_key: str | None = None,
+) -> dict[str, int]:
+    """Merge rows into the next version of an analytics table; returns its metrics.
+
+    Rows replace stored ones of their key, or only older ones if there is an
+    incremental key to tell.
+    """
+    if version is None:
+        return write_version(rows, path, 0, partition_column)
+    batch = written_out(rows)
+    current = read_version(rows.sparkSession, path, version)
+    if incremental_key is None:
+        state = merge_always(current, batch, unique_id)
+    else:
+        state = merge_newer(current, batch, unique_id, incremental_key)
+    return write_version(state, path, version + 1, partition_column, shuffle=False)

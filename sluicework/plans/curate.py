@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from sluicework.operators.assemble import assemble
 from sluicework.operators.dedup import latest_per_key
-from sluicework.operators.layout import table_metrics
 from sluicework.operators.mapping import (
     FieldRule,
     apply_mapping,
@@ -29,11 +28,10 @@ from sluicework.operators.schema import (
     rename_duplicate_columns,
     select_with_key,
 )
-from sluicework.sources.control import read_control
+from sluicework.sources.control import advance, read_control
 from sluicework.sources.files import read_files
 from sluicework.sources.scratch import written_out
-from sluicework.sources.sinks import write_partitioned
-from sluicework.sources.versions import read_version, version_path
+from sluicework.sources.versions import read_version, write_version
 
 UPSERT = "upsert"
 
@@ -232,12 +230,15 @@ def load_target(
             return {}
         current = read_version(spark, spec.path, version, file_format)
         state = merge_batch(batch, current, sources, spec)
-    next_version = 0 if version is None else version + 1
-    path = version_path(spec.path, next_version)
     first = version is None
-    write_partitioned(state, path, spec.partition_column, shuffle and first, file_format)
-    metrics = table_metrics(spark.read.format(file_format).load(path)).first().asDict()
-    return {**metrics, "version": next_version}
+    return write_version(
+        state,
+        spec.path,
+        0 if first else version + 1,
+        spec.partition_column,
+        shuffle and first,
+        file_format,
+    )
 
 
 def control_update(
@@ -249,3 +250,31 @@ def control_update(
         F.lit(started_at).alias("last_modified"),
         *[F.lit(value).cast("bigint").alias(key) for key, value in metrics.items()],
     )
+
+
+def run_load(
+    spark: SparkSession,
+    target: str,
+    mapping: DataFrame,
+    configs: Mapping[str, DataFrame],
+    curated: DataFrame,
+    started_at: str,
+    shuffle: bool = True,
+    file_format: str = "parquet",
+    **options,
+) -> DataFrame:
+    """One load of a target from its control row; returns the control rows after it.
+
+    ``options`` are those of :func:`load_sources`.  The caller stores the result,
+    which is when readers see the new version.
+    """
+    details = read_control(curated, target)
+    sources = load_sources(
+        spark, mapping, configs, target, details["last_modified"], **options
+    )
+    version = None if details["first_load"] else details["version"]
+    spec = TargetSpec.from_control(details)
+    metrics = load_target(spark, sources, spec, version, shuffle, file_format)
+    if not metrics:
+        return curated
+    return advance(curated, control_update(spark, target, started_at, metrics))

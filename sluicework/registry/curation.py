@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,10 @@ from pyspark.sql import functions as F
 from sluicework.operators.dedup import latest_per_key
 from sluicework.operators.mapping import FieldRule
 from sluicework.operators.merge import merge_newer
-from sluicework.plans.curate import (
-    SourceSpec,
-    TargetSpec,
-    control_update,
-    curate_source,
-    load_sources,
-    load_target,
-)
+from sluicework.plans.curate import SourceSpec, curate_source, run_load
 from sluicework.plans.ingest import ingest, raw_path
 from sluicework.registry.common import Query, table
-from sluicework.sources.control import NEVER_LOADED, advance, read_control
+from sluicework.sources.control import NEVER_LOADED, read_control
 from sluicework.sources.scratch import scratch_dir
 from sluicework.sources.versions import read_version
 
@@ -118,21 +110,16 @@ AS t(name, database, src_path, format, source, unique_id, incremental_key, schem
 LAST_RUN = "2020-01-01T00:00:00"
 
 CURATED_CONTROL = """
-SELECT 'sales' AS name, :never AS last_modified, CAST(NULL AS BIGINT) AS row_count,
-       CAST(NULL AS BIGINT) AS version, CAST(NULL AS STRING) AS created_at
+SELECT 'sales' AS name, :path AS path, :never AS last_modified, 'sale_id' AS unique_id,
+       'order_no' AS id_sql, 'changed_at' AS incremental_key,
+       'greatest(ordered_at, person_at)' AS incremental_sql, 'state' AS partition_columns,
+       'lower(status)' AS partition_sql, 'upsert' AS mode,
+       'orders LEFT JOIN people ON customer_no = person_no' AS from_sql,
+       CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS BIGINT) AS num_files,
+       CAST(NULL AS BIGINT) AS size_in_bytes, CAST(NULL AS BIGINT) AS version,
+       CAST(NULL AS STRING) AS created_at
 """
 
-SALES = TargetSpec(
-    name="sales",
-    unique_id="sale_id",
-    id_sql="order_no",
-    incremental_key="changed_at",
-    incremental_sql="greatest(ordered_at, person_at)",
-    partition_column="state",
-    partition_sql="lower(status)",
-    from_sql="orders LEFT JOIN people ON customer_no = person_no",
-)
-
 
 def curate_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources ingested as raw JSON and curated; then orders change and load again.
@@ -141,7 +128,6 @@ def curate_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep the stored person.
     """
     root = scratch_dir(spark)
-    spec = replace(SALES, path=f"{root}/curated/sales")
     mapping = spark.sql(MAPPING)
     documents = _order_documents(spark, sf_dir)
     people = table(spark, sf_dir, "customer").select(
@@ -158,16 +144,16 @@ def curate_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest(people, people_at, hour)
         raw = spark.sql(RAW_CONTROL, {"orders_at": orders_at, "people_at": people_at})
         control = spark.read.parquet(f"{root}/control/{step - 1}")
-        details = read_control(control, "sales")
-        watermark = NEVER_LOADED if details["first_load"] else LAST_RUN
-        sources = load_sources(spark, mapping, {"raw": raw}, "sales", watermark, keep_unique_id=True)
-        metrics = load_target(spark, sources, spec, details["version"])
-        kept = {k: metrics[k] for k in ("row_count", "version")}
-        update = control_update(spark, "sales", hour.isoformat(), kept)
-        advance(control, update).coalesce(1).write.parquet(f"{root}/control/{step}")
-
-    first = spark.sql(CURATED_CONTROL, {"never": NEVER_LOADED})
-    first.coalesce(1).write.parquet(f"{root}/control/0")
+        advanced = run_load(
+            spark, "sales", mapping, {"raw": raw}, control, hour.isoformat(), keep_unique_id=True
+        )
+        # Files of a later step are newer than any time before this run.
+        watermark = F.lit(LAST_RUN).alias("last_modified")
+        kept = [c for c in advanced.columns if c != "last_modified"]
+        advanced.select(*kept, watermark).coalesce(1).write.parquet(f"{root}/control/{step}")
+
+    target = {"never": NEVER_LOADED, "path": f"{root}/curated/sales"}
+    spark.sql(CURATED_CONTROL, target).coalesce(1).write.parquet(f"{root}/control/0")
     load(1, documents, people)
     later = F.replace(F.col("Header.Placed"), F.lit("T00"), F.lit("T05"))
     changed = (
@@ -176,8 +162,8 @@ def curate_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("Status", F.when(F.col("Status") == "O", F.lit("Closed")))
     )
     load(2, changed, people.where("false"))
-    version = read_control(spark.read.parquet(f"{root}/control/2"), "sales")["version"]
-    return read_version(spark, spec.path, version)
+    loaded = read_control(spark.read.parquet(f"{root}/control/2"), "sales")
+    return read_version(spark, loaded["path"], loaded["version"])
 
 
 CURATE_TWICE = """

@@ -10,8 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluicework.operators.layout import table_metrics
 from sluicework.operators.merge import change_feed, drop_preimages
 from sluicework.sources.files import read_snapshot
+from sluicework.sources.sinks import write_partitioned
 
 DELTA_FORMAT = "delta"
 
@@ -26,6 +28,21 @@ def read_version(
     return read_snapshot(spark, version_path(path, version), file_format)
 
 
+def write_version(
+    state: DataFrame,
+    path: str,
+    version: int,
+    partition_column: str,
+    shuffle: bool = True,
+    file_format: str = "parquet",
+) -> dict[str, int]:
+    """Write one version of a table; returns its metrics as control columns."""
+    spark, target = state.sparkSession, version_path(path, version)
+    write_partitioned(state, target, partition_column, shuffle, file_format)
+    found = table_metrics(read_snapshot(spark, target, file_format)).first()
+    return {**found.asDict(), "version": version}
+
+
 def read_changes(
     spark: SparkSession,
     path: str,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluicework.operators.mapping import FieldRule
-from sluicework.plans.analytics import analytics_inputs, analytics_rows
+from sluicework.plans.analytics import analytics_inputs, analytics_rows, load_analytics
 from sluicework.plans.curate import (
     CuratedSource,
     SourceSpec,
@@ -14,6 +14,7 @@ from sluicework.plans.curate import (
     load_target,
     merge_batch,
 )
+from sluicework.plans.maintain import optimise
 from sluicework.sources.versions import read_version
 from sluicework.streaming.increments import file_stream, stream_merge
 
@@ -72,6 +73,20 @@ def test_loads_make_versions(spark, tmp_path):
     assert analytics_inputs(spark, control, " t", first_load=True)["t"].count() == 3
 
 
+def test_optimise_and_analytics_loads(spark, tmp_path):
+    path = str(tmp_path / "a")
+    rows = spark.range(0, 900, 1, 9).select("id", F.lit(1).alias("at"), (F.col("id") % 3).alias("p"))
+    assert load_analytics(rows, path, None, "id", "p")["row_count"] == 900
+    batch = rows.where("id < 10").withColumn("at", F.lit(0)).withColumn("id", F.col("id") * 100)
+    newer = load_analytics(batch, path, 0, "id", "p", "at")
+    always = load_analytics(batch, path, 1, "id", "p")
+    assert newer["row_count"] == always["row_count"] == 901
+    assert read_version(spark, path, 1).where("at = 0").count() == 1
+    assert read_version(spark, path, 2).where("at = 0").count() == 10
+    done = optimise(spark, path, 2, "p", ["id"])
+    assert done["version"] == 3 and done["row_count"] == 901 and done["num_files"] == 3
+
+
 def test_modes_and_partial_rows(spark):
     current = spark.createDataFrame([(1, 1, "a", "p")], "uid INT, changed INT, v STRING, p STRING")
     batch = spark.createDataFrame([(1, 2, None, None), (2, 2, "b", "q")], "uid INT, changed INT, v STRING, p STRING")

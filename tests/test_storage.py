@@ -125,6 +125,26 @@ def test_compaction_and_metrics(spark, tmp_path):
     assert tuple(table_metrics(many.where("v = 1 AND v = 2")).first()) == (0, 0, 0)
 
 
+def test_z_order_narrows_every_column(spark, tmp_path):
+    """Files of a table clustered by two columns hold a fraction of the range of each."""
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("x"),
+        F.concat(F.lit("k"), F.lpad(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).cast("string"), 4, "0")).alias("y"),
+        F.when(F.col("id") % 2 == 0, F.lit(datetime(2024, 1, 1))).cast("timestamp_ntz").alias("at"),
+    )
+    rows.write.parquet(str(tmp_path / "in"))
+    stored = spark.read.parquet(str(tmp_path / "in"))
+    size = table_metrics(stored).first()["size_in_bytes"]
+    out = compact(stored, size, ["x", "y"], file_bytes=size // 16 + 1)
+    spans = out.groupBy(F.spark_partition_id()).agg(
+        (F.max("x") - F.min("x")).alias("dx"),
+        (F.substring(F.max("y"), 2, 4).cast("int") - F.substring(F.min("y"), 2, 4).cast("int")).alias("dy"),
+    ).agg(F.avg("dx"), F.avg("dy")).first()
+    assert spans[0] < 550 and spans[1] < 550
+    assert out.columns == ["x", "y", "at"] and out.exceptAll(stored).isEmpty() and out.count() == 40_000
+    assert compact(stored, size, ["at", "x", "y"], "at").count() == 40_000
+
+
 def test_control_rows(spark):
     rows = spark.createDataFrame(
         [("a", control.NEVER_LOADED, 1, None, "keep"), ("b", "2024-01-01T00:00:00", 2, "2023", "keep")],
