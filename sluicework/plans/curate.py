@@ -135,10 +135,11 @@ def load_sources(
 ) -> dict[str, CuratedSource]:
     """Scan and curate every source that is mapped to a target.
 
-    ``configs`` holds the control tables by name; all plans stay lazy.
+    ``configs`` holds the control tables by name; all plans stay lazy.  A source
+    that maps a target column twice is an error; two sources may share one.
     """
     targets = explode_targets(mapping)
-    check_targets(targets, target)
+    check_targets(targets, target, within_source=True)
     curated = {}
     for database, collection, config in sorted(mapping_sources(targets, target).collect()):
         details = read_control(configs[config], collection, database)

@@ -13,6 +13,7 @@ from sluicework.plans.curate import (
     curate_source,
     load_target,
     merge_batch,
+    run_load,
 )
 from sluicework.plans.maintain import optimise
 from sluicework.sources.versions import read_version
@@ -100,6 +101,47 @@ def test_modes_and_partial_rows(spark):
     assert merged(two, replace(SPEC, mode="append")) == [(1, 1, "a", "p"), (2, 2, "b", "q")]
 
 
+MAPPING = """
+SELECT * FROM VALUES
+  ('all', 'd1', 'a', 'raw', 'ID', 'id', NULL, 'N', 'int'),
+  ('all', 'd1', 'a', 'raw', 'at', 'at', NULL, 'N', 'int'),
+  ('all', 'd1', 'a', 'raw', 'tags', 'tags', NULL, 'N', 'string'),
+  ('all', 'd2', 'b', 'raw', 'key', 'id', NULL, 'N', 'int'),
+  ('all', 'd2', 'b', 'raw', 'at', 'at', NULL, 'N', 'int')
+AS t(DEST_TABLE, SRC_DB, SRC_COLLECTION, SRC_CONFIG, SRC_FIELD, DEST_COLUMN, Transformation, PII, SRC_FIELD_DATATYPE)
+"""
+
+
+def test_united_sources_and_load_options(spark, tmp_path):
+    """Two sources give the same columns; one explodes an array and overrides its filter."""
+    kinds = "ID INT, at INT, tags ARRAY<STRING>"
+    spark.createDataFrame([(1, 1, ["x", "y"]), (2, None, None)], kinds).write.json(str(tmp_path / "a"))
+    spark.createDataFrame([(7, 1), (8, 1)], "key INT, at INT").write.json(str(tmp_path / "b"))
+    raw = spark.createDataFrame(
+        [
+            ("a", "d1", str(tmp_path / "a"), "json", "kafka", "id", "at", kinds),
+            ("b", "d2", str(tmp_path / "b"), "json", "kafka", "id", "at", "key INT, at INT"),
+        ],
+        "name STRING, database STRING, src_path STRING, format STRING, source STRING, "
+        "unique_id STRING, incremental_key STRING, schema STRING",
+    )
+    control = spark.createDataFrame(
+        [("all", "2016-01-01T00:00:00", str(tmp_path / "t"), "uid", "changed", "p", "id", "at", "id % 2",
+          "(SELECT id, at, tags FROM a UNION ALL SELECT id, at, NULL FROM b) u", "upsert", None, None)],
+        "name STRING, last_modified STRING, path STRING, unique_id STRING, incremental_key STRING, "
+        "partition_columns STRING, id_sql STRING, incremental_sql STRING, partition_sql STRING, "
+        "from_sql STRING, mode STRING, version BIGINT, row_count BIGINT",
+    )
+    after = run_load(
+        spark, "all", spark.sql(MAPPING), {"raw": raw}, control, "2024-06-20T00:00:00",
+        filters={"b": [{"column": "key", "value": "8"}]}, arrays={"tags": "explode"},
+    )
+    row = after.select("last_modified", "version", "row_count", "path").first()
+    assert tuple(row)[:3] == ("2024-06-20T00:00:00", 0, 3)
+    found = read_version(spark, row["path"], 0).select("uid", "tags").collect()
+    assert sorted(map(tuple, found), key=str) == [(1, "x"), (1, "y"), (8, None)]
+
+
 def test_target_spec_of_a_control_row():
     row = dict(
         name="t", unique_id="u", id_sql="i", incremental_key="k", incremental_sql="x", partition_columns="p",

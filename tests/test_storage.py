@@ -62,6 +62,14 @@ def test_mongo_options():
     assert mongo.connection_options("u", "d", "c", readPreference="secondary")["readPreference"] == "secondary"
 
 
+def test_mongo_failures_raise(spark):
+    """Without the connector on the classpath every use fails loudly."""
+    with pytest.raises(Exception, match="mongodb"):
+        mongo.read(spark, "mongodb://h/", "d", "c")
+    with pytest.raises(Exception, match="mongodb"):
+        mongo.write(spark.range(1), "mongodb://h/", "d", "c")
+
+
 def test_sized_and_counted_writes(spark, tmp_path):
     rows = spark.range(0, 250, 1, 1)
     assert sinks.write_sized(rows, str(tmp_path / "sized"), rows_per_file=100) == 250
