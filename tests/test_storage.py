@@ -1,5 +1,6 @@
 import os
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,6 +196,19 @@ def test_scratch_follows_the_session(spark):
     assert cut_lineage(rows).count() == 5
 
 
+def test_scratch_without_a_shared_folder():
+    """A local session gets a temporary folder, a cluster session an error."""
+
+    def session(master, shared=None):
+        conf = SimpleNamespace(get=lambda name, default: shared or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert os.path.isdir(scratch_dir(session("local[4]")))
+    assert scratch_dir(session("yarn", "hdfs:///tmp/x/")).startswith("hdfs:///tmp/x/sluicework-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn"))
+
+
 def test_merge_into_catalog_table(monkeypatch):
     """The native merge gets the conditions of each mode."""
     calls = []
