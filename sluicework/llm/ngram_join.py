@@ -22,11 +22,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.components import connected_components
+from sluicework.llm.tasks import map_arrow
 from sluicework.llm.words import SHINGLE_WORDS, hash_words, shingle_set, words_of
 from sluicework.sources.scratch import written_out
 
 #: Tokens that a set adds to its prefix, as a share of the set (one in so many).
-EXTRA_ONE_IN = 20
+EXTRA_ONE_IN = 10
+
+#: Nodes whose keys (16 bytes and two numbers) are broadcast to the texts; more are joined.
+BROADCAST_NODES = 200_000
+
+#: Bits that tell how far two sets differ at least.
+PARITY_BITS = 1024
 
 #: Rounds in which each group is compared with one pivot.
 PIVOT_ROUNDS = 2
@@ -49,36 +56,48 @@ def _least_shared(n: Column, percent: int) -> Column:
 def _sketch(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, counts, prefixes = [], [], []
+            words, counts, prefixes = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = hash_words(words_of(text))
                 tokens = shingle_set(hashes, size)
-                nodes.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                words.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 counts.append(len(tokens))
                 prefixes.append(tokens[: _prefix_length(len(tokens), percent)].view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("row_no"),
                     batch.column("doc_id"),
                     batch.column("text_key"),
-                    pa.array(nodes, pa.binary()),
+                    pa.array(words, pa.binary()),
                     pa.array(counts, pa.int64()),
                     pa.ListArray.from_arrays(
                         pa.array(offsets, pa.int32()), np.concatenate([np.empty(0, np.int64), *prefixes])
                     ),
                 ],
-                ["doc_id", "text_key", "node", "n_shingles", "prefix"],
+                ["row_no", "doc_id", "text_key", "words", "n_shingles", "prefix"],
             )
 
     return run
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits; two sets differ in at least as many tokens as these in bits."""
+    odd = np.bincount(tokens.astype(np.int64) & (PARITY_BITS - 1), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _whole_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(hash_words(words_of(text)), size).view(np.int64) for text in batch.column("text").to_pylist()]
+            sets = [shingle_set(hash_words(words_of(text)), size) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "tokens"]
+                [
+                    batch.column("node"),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([_parity(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["node", "tokens", "parity"],
             )
 
     return run
@@ -135,22 +154,41 @@ def ngram_jaccard_components(documents: DataFrame, size: int = SHINGLE_WORDS, pe
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.unhex(F.md5("text")).alias("text_key"))
     sketch = written_out(
-        texts.mapInArrow(
+        map_arrow(
+            texts.withColumn("row_no", F.monotonically_increasing_id()),
             _sketch(size, percent),
-            "doc_id long, text_key binary, node binary, n_shingles long, prefix array<long>",
+            "row_no long, doc_id long, text_key binary, words binary, n_shingles long, prefix array<long>",
         )
     )
+    # A node is the first row with its words.
+    of_words = sketch.filter("n_shingles > 0").groupBy("words").agg(F.min("row_no").alias("node"))
 
-    # Order 1, by hash: tokens that more than one document has in its prefix.
-    tokens = sketch.filter("n_shingles > 0").select("node", "n_shingles", F.explode("prefix").alias("token"))
+    # Order 1, by hash: nodes with enough tokens that another row has in its prefix.
+    tokens = sketch.select("row_no", F.explode("prefix").alias("token"))
     repeated = tokens.groupBy("token").count().filter("count > 1").select("token")
-    shared = written_out(tokens.join(repeated, "token").distinct())
+    held = tokens.join(repeated, "token").groupBy("row_no").agg(F.count(F.lit(1)).alias("held"))
+    left = written_out(
+        sketch.drop("prefix", "words")
+        .join(held, "row_no")
+        .filter(F.col("held") >= _least_shared(F.col("n_shingles"), percent))
+        .join(of_words.select(F.col("node").alias("row_no")), "row_no", "left_semi")
+        .select(F.col("row_no").alias("node"), F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"))
+    )
+    if left.count() <= BROADCAST_NODES:
+        left = F.broadcast(left)
+    of_node = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
+    sets = written_out(
+        map_arrow(texts.join(left, of_node).select("node", "text"), _whole_sets(size), "node long, tokens array<long>, parity array<long>")
+        .dropDuplicates(["node"])
+    )
 
-    # Orders 2 and 3, by frequency among different texts.
-    frequency = shared.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    least = _least_shared(F.col("n_shingles"), percent)
+    # Orders 2 and 3, by frequency among the whole sets that are left. A token that no
+    # other set has comes first in both, and is of no use but for the prefix it fills.
+    tokens = sets.select("node", F.size("tokens").alias("n_shingles"), F.explode("tokens").alias("token"))
+    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    least = F.ceil(F.col("n_shingles") * percent / 100)
     by_node = (
-        shared.join(frequency, "token")
+        tokens.join(frequency, "token")
         .groupBy("node", "n_shingles")
         .agg(F.collect_list(F.struct("df", "token")).alias("held"))
         .filter(F.size("held") >= least)
@@ -174,11 +212,6 @@ def ngram_jaccard_components(documents: DataFrame, size: int = SHINGLE_WORDS, pe
     postings = written_out(postings.join(several, "token", "left_semi"))
     nodes = postings.select("node").distinct()
 
-    # Whole sets, of one text for each node that is left.
-    keys = sketch.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
-    one_text = texts.filter("text_key IS NOT NULL").groupBy("text_key").agg(F.first("text").alias("text"))
-    sets = written_out(one_text.join(keys, "text_key").mapInArrow(_whole_sets(size), "node binary, tokens array<long>"))
-
     labels = nodes.withColumn("component", F.col("node"))
     links = None
     for round_number in range(PIVOT_ROUNDS + 1):
@@ -188,13 +221,13 @@ def ngram_jaccard_components(documents: DataFrame, size: int = SHINGLE_WORDS, pe
         if round_number < PIVOT_ROUNDS:
             pairs = _pivot_pairs(open_postings, round_number, percent)
         else:
-            pairs = _pairs_across(open_postings, percent)
+            pairs = _pairs_across(open_postings, sets, percent)
         found = written_out(_verified(pairs, prefixes, sets, percent))
         links = found if links is None else links.unionByName(found)
         labels = connected_components(nodes, links)
         postings = open_postings
 
-    return _per_document(sketch, labels)
+    return _per_document(sketch, of_words, labels)
 
 
 def _pivot_pairs(postings: DataFrame, round_number: int, percent: int) -> DataFrame:
@@ -222,34 +255,41 @@ def _pivot_pairs(postings: DataFrame, round_number: int, percent: int) -> DataFr
     )
 
 
-def _pairs_across(postings: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a token and lie in different components."""
-    left = postings.select("token", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("n_shingles").alias("n_a"))
-    right = postings.select("token", F.col("node").alias("b"), F.col("component").alias("of_b"), F.col("n_shingles").alias("n_b"))
+def _pairs_across(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a token, lie in different components and may be similar: similar
+    sets of n and m tokens differ in (n + m)(100 - percent) / (100 + percent) at most."""
+    known = written_out(postings.join(sets.select("node", "parity"), "node"))
+    names = ("node", "component", "n_shingles", "parity")
+    left = known.select("token", *(F.col(c).alias(f"{c}_a") for c in names))
+    right = known.select("token", *(F.col(c).alias(f"{c}_b") for c in names))
+    differing = F.aggregate(
+        F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, bits: n + bits
+    )
+    either = F.col("n_shingles_a") + F.col("n_shingles_b")
     return (
         left.join(right, "token")
-        .filter((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & _similar_sizes("n_a", "n_b", percent))
-        .select("a", "b")
+        .filter(
+            (F.col("node_a") < F.col("node_b"))
+            & (F.col("component_a") != F.col("component_b"))
+            & _similar_sizes("n_shingles_a", "n_shingles_b", percent)
+            & (differing * (100 + percent) <= either * (100 - percent))
+        )
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
 
 
-def _per_document(sketch: DataFrame, labels: DataFrame) -> DataFrame:
-    of_node = (
-        sketch.filter("n_shingles > 0")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"),
-        )
-        .join(labels, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+def _per_document(sketch: DataFrame, of_words: DataFrame, labels: DataFrame) -> DataFrame:
+    rows = sketch.drop("prefix").join(of_words, "words", "left")
+    by_node = rows.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
     )
-    of_component = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("first"))
-    known = of_node.select("node", "component").join(of_component, "component").drop("component")
+    by_node = by_node.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_component = by_node.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("first"))
+    known = by_node.select("node", "component").join(of_component, "component").drop("component")
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
     empty = F.col("n_shingles") == 0
-    return sketch.drop("prefix").join(known, "node", "left").select(
+    return rows.join(known, "node", "left").select(
         "doc_id",
         "text_key",
         "n_shingles",
