@@ -2,17 +2,73 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluicework.llm.ngram_join import ngram_jaccard_components
+from sluicework.llm.packing import pack_along_curve
+from sluicework.llm.poisson_mix import TERMS, poisson_mix
+from sluicework.llm.quality import classify, grades_of
+from sluicework.llm.sentence_spans import remove_repeated_spans
 from sluicework.registry.common import Query, table
 
 
+def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_jaccard_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeated_spans(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "removed_sentences", F.length("text").cast("long").alias("kept_chars"))
+
+
+def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix(table(spark, sf_dir, "documents"))
+
+
+#: The same draw in SQL: sums of the distribution by recursion, rates of at most 16.
+OP8_SQL = f"""
+WITH RECURSIVE sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+  SELECT source, 1.0::DOUBLE / (SELECT count(*)::DOUBLE FROM sizes) * (SELECT sum(n)::DOUBLE FROM sizes) / n AS rate
+  FROM sizes),
+parts AS (SELECT source, greatest(1, ceil(rate / 16.0))::INT AS parts, rate / greatest(1, ceil(rate / 16.0)) AS rate FROM rates),
+sums AS (
+  SELECT source, rate, parts, 0 AS k, exp(-rate) AS p, exp(-rate) AS below FROM parts
+  UNION ALL
+  SELECT source, rate, parts, k + 1, p * rate / (k + 1), below + p * rate / (k + 1) FROM sums WHERE k < {TERMS - 1}),
+laws AS (SELECT source, parts, list(below ORDER BY k) AS law FROM sums GROUP BY source, parts),
+draws AS (
+  SELECT d.*, coalesce(CAST(doc_id AS VARCHAR), md5(text), '') AS name, law, unnest(range(1, parts + 1)) AS part
+  FROM documents d JOIN laws l ON d.source IS NOT DISTINCT FROM l.source),
+counts AS (
+  SELECT doc_id, text, lang, source, n_chars, name,
+    sum(len(list_filter(law, lambda x: x <= ('0x' || substr(md5(concat_ws(':', '0', name, CAST(part AS VARCHAR))), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0)))::INT AS n_copies
+  FROM draws GROUP BY ALL),
+copies AS (SELECT *, unnest(range(1, n_copies + 1))::INT AS copy FROM (SELECT doc_id, text, lang, source, n_chars, name, n_copies FROM counts))
+SELECT doc_id, text, lang, source, n_chars, copy, n_copies, md5(concat_ws(':', '0:order', name, CAST(copy AS VARCHAR))) AS order_key
+FROM copies
+"""
+
+
+def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = classify(table(spark, sf_dir, "documents"), grades_of(table(spark, sf_dir, "labels")))
+    return graded.select("doc_id", "expected_grade", "tail", "keep")
+
+
 QUERIES = {
+    "op2_curve_packing": Query(op2_curve_packing),
     "op3_ngram_jaccard_join": Query(op3_ngram_jaccard_join),
+    "op5_sentence_span_dedup": Query(op5_sentence_span_dedup),
+    "op8_poisson_mix": Query(op8_poisson_mix, OP8_SQL),
+    "op10_ordinal_quality": Query(op10_ordinal_quality),
 }
