@@ -23,14 +23,14 @@ from sluicework.llm.words import mixed, words_of
 from sluicework.sources.scratch import written_out
 
 MIN_SENTENCES = 2
-MIN_WORDS = 10
+MIN_WORDS = 20
 
 #: Unpunctuated text: a sentence of more words is cut after words whose hash is
 #: divisible by the second number, so at the same words in every document.
 LONG_SENTENCE = 32
 CUT_ONE_IN = 8
 
-_ENDS = re.compile(r"[.!?。！？]+[\"'”’)\]]*\s+|\n\s*")
+_ENDS = re.compile(r"[.!?。！？]+[\"'”’)\]]*\s+|\n[^\S\n]*\n\s*")
 _WORD = re.compile(r"\S+\s*")
 _STEP = 0x9E3779B97F4A7C15
 _STEP_INVERSE = pow(_STEP, -1, 1 << 64)
@@ -70,7 +70,7 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each run its hash, first sentence and number of sentences."""
-    pieces = [words_of(piece) for piece in sentences(text or "")]
+    pieces = [words_of(piece.lower()) for piece in sentences(text or "")]
     count = len(pieces)
     words = np.fromiter(map(len, pieces), np.int64, count)
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(p)) for p in pieces), np.uint64, count)
