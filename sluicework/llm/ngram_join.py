@@ -215,7 +215,7 @@ def ngram_jaccard_components(documents: DataFrame, size: int = SHINGLE_WORDS, pe
     labels = nodes.withColumn("component", F.col("node"))
     links = None
     for round_number in range(PIVOT_ROUNDS + 1):
-        open_postings = postings if round_number == 0 else written_out(_unsettled(postings, labels))
+        open_postings = written_out(_unsettled(postings, labels)) if round_number else postings.withColumn("component", F.col("node"))
         if round_number and open_postings.isEmpty():
             break
         if round_number < PIVOT_ROUNDS:
