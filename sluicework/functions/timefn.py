@@ -30,6 +30,9 @@ STRPTIME_TO_JAVA = {
 # they would lie beyond the year 5138, as milliseconds they start in 1973.
 MILLIS_FROM = 100_000_000_000
 
+# Some 8,000 years within the ends of a 64-bit count.
+MICROS_WITHIN = 9_223_372_036_854_775_807 - 2**58
+
 
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -41,12 +44,14 @@ def _wall_clock(micros: Column) -> Column:
 
 
 def _scaled(value: Column, micros: int) -> Column:
-    return F.try_multiply(value, F.lit(micros).cast("bigint"))
+    """Microseconds of an epoch count; null beyond what any zone can shift."""
+    scaled = F.try_multiply(value, F.lit(micros).cast("bigint"))
+    return F.when(scaled.between(-MICROS_WITHIN, MICROS_WITHIN), scaled)
 
 
 def epoch_to_timestamp(epoch_seconds: Column | str) -> Column:
     """Instant of an epoch second count."""
-    return F.timestamp_seconds(as_column(epoch_seconds).try_cast("bigint"))
+    return F.timestamp_micros(_scaled(as_column(epoch_seconds).try_cast("bigint"), 1_000_000))
 
 
 def convert_timezone(timestamp: Column | str, from_tz: str = UTC, to_tz: str = IST) -> Column:
@@ -73,7 +78,7 @@ def any_epoch_to_ist(epoch: Column | str, keep_millis: bool = False) -> Column:
     from_millis = _scaled(value, 1_000)
     if not keep_millis:
         from_millis = from_millis - F.pmod(from_millis, F.lit(1_000_000))
-    micros = F.when(F.abs(value) >= MILLIS_FROM, from_millis).otherwise(_scaled(value, 1_000_000))
+    micros = F.when((value >= MILLIS_FROM) | (value <= -MILLIS_FROM), from_millis).otherwise(_scaled(value, 1_000_000))
     return utc_to_ist(_wall_clock(micros))
 
 
@@ -125,9 +130,13 @@ def string_to_ist(text: Column | str, strptime_format: str | None = None) -> Col
     return utc_to_ist(F.when(value.rlike(ISO_MILLIS), F.substring(value, 1, 23)))
 
 
+def _moment(value: Column | str) -> Column:
+    return as_column(value).try_cast("timestamp")
+
+
 def year_frac(from_dt: Column | str, to_dt: Column | str) -> Column:
     """Years between two dates, counting a month as a twelfth."""
-    return F.months_between(as_column(to_dt), as_column(from_dt)) / 12
+    return F.months_between(_moment(to_dt), _moment(from_dt)) / 12
 
 
 def age_in_years(birth: Column | str, as_of: Column | None = None) -> Column:
@@ -136,4 +145,4 @@ def age_in_years(birth: Column | str, as_of: Column | None = None) -> Column:
 
 
 def year_text(date: Column | str) -> Column:
-    return F.year(as_column(date)).cast("string")
+    return F.year(as_column(date).try_cast("date")).cast("string")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import sys
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DateType, StringType, TimestampNTZType
+from pyspark.sql.types import DataType
 
 from sluicework.operators.schema import column
 from sluicework.operators.skew import row_salt
@@ -17,9 +17,10 @@ TARGET_FILE_BYTES = 104_857_600
 
 _TIE = "__tie"
 _PLACE = "__place"
-_RANK_BITS = 8
-_TEXT_BYTES = 7
-_LEAST = -sys.float_info.max
+_LEAST_BITS = 4
+_EXTRA_BITS = 2
+_SAMPLED_PER_BOUND = 16
+_SAMPLE_SEED = 7
 
 
 def file_sizes(df: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def compact(
         return df.repartition(files)
     place = [column(c) for c in cluster_by]
     if len(place) > 1:
-        df = with_z_order(df, cluster_by)
+        df = with_z_order(df, cluster_by, files)
         place = [F.col(_PLACE)]
     return (
         df.withColumn(_TIE, row_salt(df, 2**31 - 1))
@@ -69,45 +70,52 @@ def compact(
     )
 
 
-def with_z_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def with_z_order(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     """Add the place of each row on a Z-order curve: interleaved bits of ranks.
 
-    Ranks are approximate quantiles, so every column splits evenly whatever its
-    values.  One job over the columns finds the quantiles.
+    A rank is the number of quantile bounds of the column that are not above the
+    value, whole values of any ordered type; nulls are least.  The bits of a rank
+    follow from the number of files.  One job over the columns samples the bounds.
     """
-    from pyspark.ml.feature import QuantileDiscretizer
-
-    bits = min(_RANK_BITS, 62 // len(columns))
-    scales = [f"__scale_{i}" for i in range(len(columns))]
-    ranks = [f"__rank_{i}" for i in range(len(columns))]
-    scaled = df.select("*", *[_scale(df, c).alias(s) for c, s in zip(columns, scales)])
-    ranked = (
-        # One value is left for what has no rank.
-        QuantileDiscretizer(
-            inputCols=scales, outputCols=ranks, numBuckets=2**bits - 1, handleInvalid="keep"
-        )
-        .fit(scaled)
-        .transform(scaled)
-    )
+    bits = min(62 // len(columns), max(_LEAST_BITS, math.ceil(math.log2(files) / len(columns)) + _EXTRA_BITS))
+    chosen = [column(c) for c in columns]
+    sample = df.select(*chosen).orderBy(F.rand(_SAMPLE_SEED)).limit(_SAMPLED_PER_BOUND << bits).collect()
     place = F.lit(0).cast("bigint")
-    for i, rank in enumerate(ranks):
+    ranks = [f"__rank_{i}" for i in range(len(columns))]
+    for i, name in enumerate(columns):
+        bounds = _quantiles([row[i] for row in sample], (1 << bits) - 2)
+        df = df.withColumn(ranks[i], _rank(column(name), bounds, df.schema[name].dataType))
         for bit in range(bits):
-            one = F.shiftright(F.col(rank).cast("bigint"), bit).bitwiseAND(1)
+            one = F.shiftright(F.col(ranks[i]), bit).bitwiseAND(1)
             place = place + F.shiftleft(one, bit * len(columns) + i)
-    return ranked.withColumn(_PLACE, place).drop(*scales, *ranks)
-
-
-def _scale(df: DataFrame, name: str) -> Column:
-    """A number that orders like the column, null least; of text, its first bytes."""
-    kind, value = df.schema[name].dataType, column(name)
-    if isinstance(kind, (StringType, BinaryType)):
-        head = F.hex(F.substring(value.cast("binary"), 1, _TEXT_BYTES))
-        value = F.conv(F.rpad(head, 2 * _TEXT_BYTES, "0"), 16, 10)
-    elif isinstance(kind, TimestampNTZType):
-        value = value.cast("timestamp")
-    elif isinstance(kind, DateType):
-        value = F.unix_date(value)
-    return F.coalesce(value.cast("double"), F.lit(_LEAST))
+    return df.withColumn(_PLACE, place).drop(*ranks)
+
+
+def _quantiles(values: list, count: int) -> list:
+    """At most ``count`` different values that split the known ones evenly."""
+    known = sorted(v for v in values if v is not None and v == v)
+    if not known:
+        return []
+    return sorted({known[(i + 1) * len(known) // (count + 1)] for i in range(min(count, len(known) - 1))})
+
+
+def _rank(value: Column, bounds: list, kind: DataType) -> Column:
+    """1 and the bounds that are not above a value, found in two steps; 0 of null."""
+
+    def up_to(some: Column) -> Column:
+        return F.size(F.filter(some, lambda bound: bound <= value))
+
+    def literals(some: list) -> Column:
+        return F.array(*[F.lit(v).cast(kind) for v in some])
+
+    rank = F.lit(0)
+    if bounds:
+        width = math.isqrt(len(bounds) - 1) + 1
+        parts = [bounds[at : at + width] for at in range(0, len(bounds), width)]
+        part = up_to(literals([p[0] for p in parts]))
+        within = up_to(F.element_at(F.array(*map(literals, parts)), F.greatest(part, F.lit(1))))
+        rank = F.when(part > 0, (part - 1) * width + within).otherwise(0)
+    return F.when(value.isNull(), 0).otherwise(rank + 1).cast("bigint")
 
 
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:

@@ -41,7 +41,8 @@ def train_test_split(
     """Random train and test rows.
 
     With ``key`` a row falls to one side by the hash of its key, whatever the
-    partitioning, and both sides are plain filters.
+    partitioning, and both sides are plain filters. Without, a row's side depends on
+    its place in a partition, which a task that runs again may change.
     """
     if key is None:
         train, test = data.randomSplit([1 - test_size, test_size], random_state)
@@ -59,7 +60,14 @@ def nn(
 
 
 def logistic_regression(data: DataFrame, **params) -> LogisticRegressionModel:
-    return LogisticRegression(**params).fit(data)
+    """Fit a logistic regression; the model comes without its training summary.
+
+    The summary holds the session, and with it what cannot be sent to a task that
+    scores, such as the observations of earlier writes.
+    """
+    model = LogisticRegression(**params).fit(data)
+    model._java_obj.setSummary(data.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def evaluate(data: DataFrame, type: str = "binary", metric: str = "accuracy") -> float:

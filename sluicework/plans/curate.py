@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -107,8 +108,9 @@ def curate_source(
     """
     spec = replace(spec, **key_overrides(spec.filters))
     flat = flatten_documents(rename_duplicate_columns(raw), spec.arrays)
-    mapped, missed = apply_mapping(apply_filters(flat, spec.filters), rules, as_of)
-    fields = mapped_fields(rules, missed)
+    filtered = apply_filters(flat, spec.filters)
+    mapped, missed = apply_mapping(filtered, rules, as_of)
+    fields = mapped_fields(filtered, rules)
     selected = select_with_key(mapped, fields, spec.unique_id, spec.unique_sql)
     rows = latest_per_key(selected, spec.unique_id, spec.incremental_key).distinct()
     candidates = selected.where(column(spec.incremental_key).isNotNull())
@@ -122,13 +124,35 @@ def curate_source(
     return CuratedSource(rows, candidates, kept, missed)
 
 
+def source_views(sources: Iterable[tuple[str, str]]) -> dict[tuple[str, str], str]:
+    """View names of sources by database and collection.
+
+    A source is called by its collection, and by ``database_collection`` where
+    several databases have a collection of that name.  Names that still collide,
+    in any case, raise.
+    """
+    sources = sorted(set(sources))
+    shared = Counter(collection.lower() for _, collection in sources)
+    views = {
+        (database, collection): collection
+        if shared[collection.lower()] == 1
+        else f"{database}_{collection}"
+        for database, collection in sources
+    }
+    taken = Counter(view.lower() for view in views.values())
+    collisions = sorted(view for view in views.values() if taken[view.lower()] > 1)
+    if collisions:
+        raise ValueError(f"sources share a view name: {collisions}")
+    return views
+
+
 def load_sources(
     spark: SparkSession,
     mapping: DataFrame,
     configs: Mapping[str, DataFrame],
     target: str,
     modified_after: str | None,
-    filters: Mapping[str, Sequence[Mapping[str, str]]] | None = None,
+    filters: Mapping[str | tuple[str, str], Sequence[Mapping[str, str]]] | None = None,
     arrays: Mapping[str, str | Pivot] | None = None,
     keep_unique_id: bool = False,
     as_of: Column | None = None,
@@ -136,12 +160,20 @@ def load_sources(
     """Scan and curate every source that is mapped to a target.
 
     ``configs`` holds the control tables by name; all plans stay lazy.  A source
-    that maps a target column twice is an error; two sources may share one.
+    that maps a target column twice is an error; two sources may share one, and
+    so may their collections share a name: the result is keyed by
+    :func:`source_views`.  ``filters`` are given by (database, collection), or by
+    collection for every database that has it.
     """
     targets = explode_targets(mapping)
     check_targets(targets, target, within_source=True)
+    found = sorted(mapping_sources(targets, target).collect())
+    views = source_views((database, collection) for database, collection, _ in found)
+    if len(views) < len(found):
+        raise ValueError(f"a source of {target} is in several control tables")
+    filters = filters or {}
     curated = {}
-    for database, collection, config in sorted(mapping_sources(targets, target).collect()):
+    for database, collection, config in found:
         details = read_control(configs[config], collection, database)
         raw = read_files(
             spark,
@@ -155,12 +187,12 @@ def load_sources(
             unique_id=details["unique_id"],
             incremental_key=details["incremental_key"],
             unique_sql=details.get("unq_sql"),
-            filters=(filters or {}).get(collection, ()),
+            filters=filters.get((database, collection), filters.get(collection, ())),
             arrays=arrays or {},
             keep_unique_id=keep_unique_id,
         )
         rules = field_rules(targets, target, collection, database)
-        curated[collection] = curate_source(raw, rules, spec, as_of)
+        curated[views[database, collection]] = curate_source(raw, rules, spec, as_of)
     return curated
 
 

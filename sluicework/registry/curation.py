@@ -178,6 +178,75 @@ FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 """
 
 
+SAME_MAPPING = """
+SELECT * FROM VALUES
+  ('parties', 'buy', 'people', 'raw', 'key', 'party_no', NULL, 'N', 'bigint'),
+  ('parties', 'buy', 'people', 'raw', 'name', 'name', NULL, 'N', 'string'),
+  ('parties', 'buy', 'people', 'raw', 'changed', 'changed_at', 'udf_epoch_to_ist', 'N', 'string'),
+  ('parties', 'sell', 'people', 'raw', 'key', 'party_no', NULL, 'N', 'bigint'),
+  ('parties', 'sell', 'people', 'raw', 'name', 'name', NULL, 'N', 'string'),
+  ('parties', 'sell', 'people', 'raw', 'nation', 'nation', NULL, 'N', 'int'),
+  ('parties', 'sell', 'people', 'raw', 'changed', 'changed_at', 'udf_epoch_to_ist', 'N', 'string')
+AS t(DEST_TABLE, SRC_DB, SRC_COLLECTION, SRC_CONFIG, SRC_FIELD, DEST_COLUMN, Transformation, PII, SRC_FIELD_DATATYPE)
+"""
+
+SAME_CONTROL = """
+SELECT * FROM VALUES
+  ('people', 'buy', :buy_at, 'json', 'kafka', 'party_no', 'changed_at', 'key BIGINT, name STRING, changed BIGINT'),
+  ('people', 'sell', :sell_at, 'json', 'kafka', 'party_no', 'changed_at', 'key BIGINT, name STRING, nation INT, changed BIGINT')
+AS t(name, database, src_path, format, source, unique_id, incremental_key, schema)
+"""
+
+SAME_CURATED = """
+SELECT 'parties' AS name, :path AS path, :never AS last_modified, 'party_id' AS unique_id,
+       'concat(side, party_no)' AS id_sql, 'last_at' AS incremental_key,
+       'changed_at' AS incremental_sql, 'kind' AS partition_columns,
+       'side' AS partition_sql, 'upsert' AS mode,
+       '(SELECT ''buy'' AS side, party_no, name, CAST(NULL AS INT) AS nation, changed_at FROM buy_people
+         UNION ALL SELECT ''sell'', party_no, name, nation, changed_at FROM sell_people)' AS from_sql,
+       CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS BIGINT) AS num_files,
+       CAST(NULL AS BIGINT) AS size_in_bytes, CAST(NULL AS BIGINT) AS version,
+       CAST(NULL AS STRING) AS created_at
+"""
+
+
+def curate_same_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two databases with a collection of one name, loaded twice; the second load of
+    one has no names, and keeps the stored ones."""
+    root = scratch_dir(spark)
+    mapping = spark.sql(SAME_MAPPING)
+    changed = lambda key, later: (F.col(key) + 700_000_000 + later).alias("changed")
+    buyers = lambda later, name: table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), name.alias("name"), changed("c_custkey", later)
+    )
+    sellers = lambda later: table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), changed("s_suppkey", later)
+    )
+    target = {"never": NEVER_LOADED, "path": f"{root}/curated/parties"}
+    control = spark.sql(SAME_CURATED, target)
+    nobody = F.lit(None).cast("string")
+    for step, buy, sell in ((1, buyers(0, F.col("c_name")), sellers(0)), (2, buyers(60, nobody), sellers(60).where("false"))):
+        hour = datetime(2024, 6, 20, step)
+        at = {"buy_at": raw_path(f"{root}/{step}", "kafka", "buy", "people"), "sell_at": raw_path(f"{root}/{step}", "kafka", "sell", "people")}
+        ingest(buy, at["buy_at"], hour)
+        ingest(sell, at["sell_at"], hour)
+        raw = spark.sql(SAME_CONTROL, at)
+        control = run_load(spark, "parties", mapping, {"raw": raw}, control, LAST_RUN, keep_unique_id=True)
+        kept = f"{root}/control/{step}"
+        control.coalesce(1).write.parquet(kept)
+        control = spark.read.parquet(kept)
+    loaded = read_control(control, "parties")
+    return read_version(spark, loaded["path"], loaded["version"])
+
+
+CURATE_SAME_COLLECTION = """
+SELECT concat(side, key) AS party_id, key AS party_no, name, nation, kind,
+       to_timestamp(key + 700000000 + later)::TIMESTAMP + INTERVAL 330 MINUTE AS last_at
+FROM (SELECT 'buy' AS side, 'buy' AS kind, c_custkey AS key, c_name AS name, CAST(NULL AS INT) AS nation, 60 AS later FROM customer
+      UNION ALL SELECT 'sell', 'sell', s_suppkey, s_name, s_nationkey, 0 FROM supplier)
+"""
+
+
 def newest_of_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source curated: copies reduced to the newest, structs and arrays mapped."""
     spec = SourceSpec("order_ref", "placed_at", unique_sql="concat('o', order_id)")
@@ -195,5 +264,6 @@ FROM orders
 QUERIES = {
     "flagship": Query(flagship, FLAGSHIP),
     "curate_twice": Query(curate_twice, CURATE_TWICE),
+    "curate_same_collection": Query(curate_same_collection, CURATE_SAME_COLLECTION),
     "curate_source": Query(newest_of_copies, NEWEST_OF_COPIES),
 }

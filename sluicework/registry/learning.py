@@ -34,21 +34,38 @@ FROM part
 
 
 def split_sizes(spark, sf_dir):
+    """Sizes of both kinds of split, and how the two sides of each meet."""
     orders = table(spark, sf_dir, "orders")
-    by_key = learn.train_test_split(orders, 0.3, 7, key="o_orderkey")
-    at_random = learn.train_test_split(orders, 0.3, 7)
-    named = zip(("train", "test", "train", "test"), ("key", "key", "random", "random"), (*by_key, *at_random))
-    sides = [df.select(F.lit(side).alias("side"), F.lit(kind).alias("kind")) for side, kind, df in named]
-    rows = sides[0].unionAll(sides[1]).unionAll(sides[2]).unionAll(sides[3])
-    return rows.groupBy("kind").agg(
+    again = orders.repartition(5, "o_custkey")
+    sides = {
+        "key": learn.train_test_split(orders, 0.3, 7, key="o_orderkey"),
+        "random": learn.train_test_split(orders, 0.3, 7),
+    }
+    other = {"key": learn.train_test_split(again, 0.3, 7, key="o_orderkey")[1], "random": sides["random"][1]}
+
+    def marked(df, kind, train, test, test_again):
+        return df.select(
+            F.lit(kind).alias("kind"), "o_orderkey", F.lit(train).alias("train"), F.lit(test).alias("test"), F.lit(test_again).alias("again")
+        )
+
+    rows = None
+    for kind, (train, test) in sides.items():
+        for part in (marked(train, kind, 1, 0, 0), marked(test, kind, 0, 1, 0), marked(other[kind], kind, 0, 0, 1)):
+            rows = part if rows is None else rows.unionAll(part)
+    by_order = rows.groupBy("kind", "o_orderkey").agg(*(F.sum(c).alias(c) for c in ("train", "test", "again")))
+    share = F.avg(F.col("test").cast("double"))
+    return by_order.groupBy("kind").agg(
         F.count(F.lit(1)).alias("n"),
-        (F.round(F.avg((F.col("side") == "test").cast("int")), 1)).alias("test_share"),
+        F.sum((F.col("train") + F.col("test") != 1).cast("int")).alias("twice_or_never"),
+        F.sum((F.col("test") != F.col("again")).cast("int")).alias("moved"),
+        # Six standard deviations of a share of 0.3.
+        (F.abs(share - 0.3) <= 6 * F.sqrt(F.lit(0.21) / F.count(F.lit(1)))).alias("share_fits"),
     )
 
 
 SPLIT_SIZES = """
-SELECT 'key' AS kind, count(*) AS n, CAST(0.3 AS DOUBLE) AS test_share FROM orders
-UNION ALL SELECT 'random', count(*), CAST(0.3 AS DOUBLE) FROM orders
+SELECT kind, count(*) AS n, 0::BIGINT AS twice_or_never, 0::BIGINT AS moved, true AS share_fits
+FROM orders CROSS JOIN (VALUES ('key'), ('random')) AS kinds(kind) GROUP BY kind
 """
 
 
@@ -62,17 +79,52 @@ def _labelled(spark, sf_dir):
     return learn.vectorize(vectors, ["vector"]).select("vec_id", "label", "features")
 
 
+def _separable(spark, sf_dir):
+    """Whole order lines with a label that a line through the features tells, with room."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_quantity") > 25).cast("double").alias("label"),
+        ((F.col("l_quantity") - 25.5) / 25).alias("quantity"),
+        F.col("l_discount").alias("discount"),
+    )
+    return learn.vectorize(lines, ["quantity", "discount"])
+
+
+def _by_label(scored):
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("predicted"), (right >= 0.95).alias("learned")
+    )
+
+
 def train_lr(spark, sf_dir):
-    data = _labelled(spark, sf_dir)
-    model = learn.logistic_regression(data, maxIter=20)
-    return model.transform(data).select("vec_id", "label", "prediction")
+    data = _separable(spark, sf_dir)
+    return _by_label(learn.logistic_regression(data, maxIter=50).transform(data))
 
 
 def train_mlp(spark, sf_dir):
+    data = _separable(spark, sf_dir)
+    return _by_label(learn.nn(data, [2, 4, 2], random_state=1, maxIter=60).transform(data))
+
+
+TRAINED = """
+SELECT CAST(l_quantity > 25 AS DOUBLE) AS label, count(*) AS n, count(*) AS predicted, true AS learned
+FROM lineitem GROUP BY 1
+"""
+
+
+def train_vectors(spark, sf_dir):
+    """A classifier of whole embeddings: every row is scored by one of the two classes."""
     data = _labelled(spark, sf_dir)
-    width = table(spark, sf_dir, "embeddings").select(F.size("embedding")).first()[0]
-    model = learn.nn(data, [width, 6, 2], random_state=1, maxIter=20)
-    return model.transform(data).select("vec_id", "label", "prediction")
+    scored = learn.logistic_regression(data, maxIter=20).transform(data)
+    known = F.col("prediction").isin(0.0, 1.0)
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(known, 1)).alias("scored"))
+
+
+TRAIN_VECTORS = """
+SELECT CAST(label > 4 AS DOUBLE) AS label, count(*) AS n, count(*) AS scored FROM embeddings GROUP BY 1
+"""
 
 
 def evaluate_metrics(spark, sf_dir):
@@ -101,7 +153,8 @@ QUERIES = {
     "label_encode": Query(label_encode, LABEL_ENCODE),
     "vectorize": Query(vectorize, VECTORIZE),
     "split_sizes": Query(split_sizes, SPLIT_SIZES),
-    "train_lr": Query(train_lr),
-    "train_mlp": Query(train_mlp),
+    "train_lr": Query(train_lr, TRAINED),
+    "train_mlp": Query(train_mlp, TRAINED),
+    "train_vectors": Query(train_vectors, TRAIN_VECTORS),
     "evaluate_metrics": Query(evaluate_metrics, EVALUATE_METRICS),
 }

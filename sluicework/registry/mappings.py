@@ -77,7 +77,7 @@ def apply_mapping(spark, sf_dir):
         F.col("value").alias("doc_value"),
     )
     mapped, missed = mapping.apply_mapping(events, EVENT_RULES, F.lit("2024-06-20").cast("date"))
-    fields = mapping.mapped_fields(EVENT_RULES, missed)
+    fields = mapping.mapped_fields(events, EVENT_RULES)
     return mapped.select(*fields, "age", F.lit(",".join(missed)).alias("missed"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -13,6 +14,9 @@ from sluicework.operators.schema import quoted
 ENVELOPED_SOURCES = ("mongo", "postgress")
 ENVELOPE = "_airbyte_data"
 
+# Any time before files are written.
+NEVER = "1970-01-01T00:00:00"
+
 EXCEL_FORMAT = "com.crealytics.spark.excel"
 
 
@@ -28,11 +32,14 @@ def read_files(
 ) -> DataFrame:
     """Rows of all files under ``path`` changed after a watermark.
 
-    Files are pruned by modification time when they are listed.  Enveloped
-    sources are unwrapped.  With a schema no file is opened to infer one, and no
-    matching file means no rows; without, it is an error.
+    Files are pruned by modification time when they are listed; the watermark is
+    read in UTC whatever the session's zone.  Enveloped sources are unwrapped.  With
+    a schema no file is opened to infer one.  No matching file means no rows: with a
+    schema those of the schema, without one those of all files there are.
     """
     reader = spark.read.format(file_format).options(recursiveFileLookup="true", **options)
+    if "timeZone" not in options:
+        reader = reader.option("timeZone", "UTC")
     if modified_after is not None:
         after = modified_after
         if isinstance(after, datetime):
@@ -40,7 +47,13 @@ def read_files(
         reader = reader.option("modifiedAfter", after)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
+    try:
+        df = reader.load(path)
+    except AnalysisException as error:
+        if modified_after is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        everything = reader.option("modifiedAfter", NEVER).load(path)
+        df = everything.where("false")
     return unwrap_envelope(df, envelope) if source in ENVELOPED_SOURCES else df
 
 

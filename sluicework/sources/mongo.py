@@ -37,8 +37,6 @@ def scan_options(
     """Options of a scan whose aggregation pipeline runs inside the server."""
     extra: dict[str, object] = {
         "inferSchema": str(infer_schema).lower(),
-        "samplingRatio": "1.0",
-        "ssl.domain_match": "false",
         "samplePoolSize": sample_pool_size,
         "sampleSize": sample_size,
     }

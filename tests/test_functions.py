@@ -94,3 +94,21 @@ def test_array_to_string(spark):
         (F.array().cast("array<string>"), ""),
     ):
         assert value(spark, fn.array_to_string(array)) == text
+
+
+def test_what_does_not_fit_is_null(spark):
+    bad = spark.sql(f"SELECT 'nonsense' AS text, {2**63 - 1} AS high, {-(2**63)} AS low, date'2024-06-20' AS day")
+    found = bad.select(
+        fn.year_text("text"),
+        fn.age_in_years("text", F.col("day")),
+        fn.year_frac("text", "day"),
+        fn.year_frac("day", "text"),
+        fn.epoch_to_timestamp("high"),
+        fn.epoch_to_timestamp("low"),
+        fn.epoch_to_timestamp("text"),
+        fn.epoch_to_ist("high"),
+        fn.any_epoch_to_ist("high"),
+        fn.any_epoch_to_ist("low"),
+        fn.any_epoch_to_ist("low", keep_millis=True),
+    )
+    assert tuple(found.first()) == (None,) * 11

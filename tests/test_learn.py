@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sluicework.operators import learn
@@ -43,3 +44,12 @@ def test_area_without_scores_and_unknown_type(points):
     assert learn.evaluate(hard, "binary", "areaUnderROC") == pytest.approx((4 / 9 + 1) / 2)
     with pytest.raises(ValueError):
         learn.evaluate(hard, "ranking")
+
+
+def test_scores_after_an_observed_write(spark, points, tmp_path):
+    observed = Observation()
+    points.observe(observed, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "rows"))
+    assert observed.get["n"] == 400
+    data = learn.label_encoder(learn.vectorize(points, ["x", "y"]), "side")
+    scored = learn.logistic_regression(data, maxIter=10).transform(data).collect()
+    assert sum(r["prediction"] == r["label"] for r in scored) > 380

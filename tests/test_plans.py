@@ -12,8 +12,10 @@ from sluicework.plans.curate import (
     TargetSpec,
     curate_source,
     load_target,
+    load_sources,
     merge_batch,
     run_load,
+    source_views,
 )
 from sluicework.plans.maintain import optimise
 from sluicework.sources.versions import read_version
@@ -173,3 +175,34 @@ def test_rows_of_a_merge_stay_with_their_task(spark, tmp_path):
     plan = merge_batch(batch, stored, {"s": source(batch)}, SPEC)._jdf.queryExecution().executedPlan().toString()
     top = plan[: plan.index("BroadcastExchange")]
     assert "Exchange hashpartitioning" not in top and "SortMergeJoin" not in plan
+
+
+def test_views_of_same_named_collections():
+    views = source_views([("d1", "users"), ("d2", "Users"), ("d1", "orders")])
+    assert views == {("d1", "users"): "d1_users", ("d2", "Users"): "d2_Users", ("d1", "orders"): "orders"}
+    with pytest.raises(ValueError, match="share a view name"):
+        source_views([("d1", "users"), ("d2", "users"), ("d3", "d1_users")])
+
+
+def test_same_named_collections_are_both_loaded(spark, tmp_path):
+    for database in ("d1", "d2"):
+        rows = [(f"{database}-1", "a", 1_700_000_000), (f"{database}-2", "b", 1_700_000_000)]
+        spark.createDataFrame(rows, "key STRING, kind STRING, at LONG").write.json(str(tmp_path / database))
+    mapping = spark.createDataFrame(
+        [("t", d, "users", "raw", f, f, t, "N", None) for d in ("d1", "d2") for f, t in (("key", None), ("at", "udf_epoch_to_ist"))],
+        "DEST_TABLE STRING, SRC_DB STRING, SRC_COLLECTION STRING, SRC_CONFIG STRING, SRC_FIELD STRING, DEST_COLUMN STRING, "
+        "Transformation STRING, PII STRING, SRC_FIELD_DATATYPE STRING",
+    )
+    raw = spark.createDataFrame(
+        [("users", d, str(tmp_path / d), "json", "kafka", "key", "at") for d in ("d1", "d2")],
+        "name STRING, database STRING, src_path STRING, format STRING, source STRING, unique_id STRING, incremental_key STRING",
+    )
+
+    def keys(filters):
+        found = load_sources(spark, mapping, {"raw": raw}, "t", None, filters, keep_unique_id=True)
+        return {view: sorted(r["key"] for r in one.rows.collect()) for view, one in found.items()}
+
+    assert keys(None) == {"d1_users": ["d1-1", "d1-2"], "d2_users": ["d2-1", "d2-2"]}
+    only_a = [{"column": "kind", "value": "a"}]
+    assert keys({("d2", "users"): only_a}) == {"d1_users": ["d1-1", "d1-2"], "d2_users": ["d2-1"]}
+    assert keys({"users": only_a}) == {"d1_users": ["d1-1"], "d2_users": ["d2-1"]}

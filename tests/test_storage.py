@@ -1,5 +1,5 @@
 import os
-from datetime import datetime
+from datetime import datetime, timezone
 from types import SimpleNamespace
 
 import pytest
@@ -53,8 +53,6 @@ def test_mongo_options():
         "database": "db",
         "collection": "c",
         "inferSchema": "true",
-        "samplingRatio": "1.0",
-        "ssl.domain_match": "false",
         "samplePoolSize": "1000000",
         "sampleSize": "5",
         "aggregation.pipeline": '[{"$match": {"a": 1}}]',
@@ -245,3 +243,43 @@ class Comparable:
 
     def __gt__(self, other):
         return f"{self.name} > {other.name}"
+
+
+def test_z_order_ranks_whole_texts(spark):
+    """Names that differ only after a long common prefix still narrow to their files."""
+    rows = spark.range(4000).select(
+        F.format_string("Customer number %09d", F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("name"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).alias("n"),
+    )
+    laid = compact(rows, 16 * 1000, ["name", "n"], file_bytes=1000)
+    ranges = laid.groupBy(F.spark_partition_id()).agg(F.min("name").alias("low"), F.max("name").alias("high")).collect()
+    spans = [int(r.high[-9:]) - int(r.low[-9:]) for r in ranges]
+    assert len(spans) == 16 and sum(spans) / len(spans) < 0.5 * 10**9
+    assert laid.count() == 4000
+
+
+def test_z_order_of_nulls_and_more_files_than_places(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("a"), F.lit(None).cast("string").alias("b"))
+    laid = compact(rows, 3000, ["a", "b"], file_bytes=6)
+    assert laid.exceptAll(rows).isEmpty() and laid.count() == 3000
+    sizes = [r["count"] for r in laid.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 400
+
+
+def test_idle_scan_without_a_schema_has_no_rows(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([(1, "a")], "id INT, v STRING").write.json(path)
+    idle = read_files(spark, path, "2100-01-01T00:00:00", "json", "kafka")
+    assert idle.columns == ["id", "v"] and idle.collect() == []
+
+
+def test_watermark_ignores_the_session_zone(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([(1,)], "id INT").write.json(path)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    just_before = datetime.fromtimestamp(os.stat(path).st_mtime - 3600, tz=timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert read_files(spark, path, just_before, "json", "kafka", "id INT").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
