@@ -1,21 +1,29 @@
 """Merges of a batch into a snapshot, and the changes between two snapshots.
 
 All operators return the new state as a DataFrame and leave writing to the
-caller.  A merge is a left join that updates target rows and an anti-join that
-finds the rows to insert.  Unlike one full outer join, both can be planned as
-broadcast joins when the batch is small, so a large target is not shuffled at
-all, and both can be salted when a key is heavy.
+caller.  A merge is one full outer join, which reads and shuffles either side
+once.  A batch small enough to broadcast is merged by a left join that updates
+target rows and an anti-join that finds the rows to insert: then a large target
+is not shuffled at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.operators.schema import column
-from sluicework.operators.skew import any_null, is_broadcastable, key_list, lookup_join
+from sluicework.operators.skew import (
+    any_null,
+    common_kinds,
+    fan_out,
+    is_broadcastable,
+    key_list,
+    lookup_join,
+    row_salt,
+)
 
 CHANGE_TYPE = "_change_type"
 INSERT = "insert"
@@ -27,6 +35,11 @@ _ROW = "__row"
 _COUNT = "__count"
 _UPDATE = "__update"
 _NET = "__net"
+_MINE = "__mine"
+_SALT = "__salt"
+_THEIR_SALT = "__their_salt"
+_NEWEST = "__newest"
+_RANK = "__rank"
 _COPIES_PER_SLICE = 10_000
 
 
@@ -78,6 +91,7 @@ def _merge(
     source: DataFrame,
     keys: list[str],
     one_per_key: Callable[[Column], Column],
+    newest: Column,
     is_newer: Callable[[Column], Column],
     unique_source: bool,
     evolve: bool,
@@ -85,6 +99,8 @@ def _merge(
     split_above: int | None,
 ) -> DataFrame:
     _check_evolution(target, source, evolve)
+    if split_above is None and not is_broadcastable(source):
+        return _merge_in_one_pass(target, source, keys, newest, is_newer, unique_source, fill_nulls)
     packed = source.where(~any_null(keys)).select(
         *map(column, keys), F.struct(*map(column, source.columns)).alias(_ROW)
     )
@@ -94,10 +110,8 @@ def _merge(
         packed = packed.groupBy(*map(column, keys)).agg(
             one_per_key(F.col(_ROW)).alias(_ROW), F.count(F.lit(1)).alias(_COUNT)
         )
-    newer = F.coalesce(is_newer(F.col(_ROW)), F.lit(False)) & F.col(_ROW).isNotNull()
-    ambiguous = F.raise_error(F.lit(f"several source rows update one row by key {keys}"))
     joined = lookup_join(target, packed, keys, "left", split_above).withColumn(
-        _UPDATE, F.when(newer & (F.col(_COUNT) > 1), ambiguous.cast("boolean")).otherwise(newer)
+        _UPDATE, _updates(keys, is_newer)
     )
     kinds = {f.name: f.dataType for f in target.schema.fields}
     updated = []
@@ -114,6 +128,65 @@ def _merge(
     return joined.select(*updated).unionByName(inserts)
 
 
+def _updates(keys: list[str], is_newer: Callable[[Column], Column]) -> Column:
+    """Whether the joined source row updates the target row; raises if several would."""
+    newer = F.coalesce(is_newer(F.col(_ROW)), F.lit(False)) & F.col(_ROW).isNotNull()
+    ambiguous = F.raise_error(F.lit(f"several source rows update one row by key {keys}"))
+    return F.when(newer & (F.col(_COUNT) > 1), ambiguous.cast("boolean")).otherwise(newer)
+
+
+def _merge_in_one_pass(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    newest: Column,
+    is_newer: Callable[[Column], Column],
+    unique_source: bool,
+    fill_nulls: bool,
+) -> DataFrame:
+    """A full outer join with markers.  Null keys match nothing in it, so they are
+    spread by a salt; source rows of a key meet a target row by the newest alone."""
+    tasks = fan_out(target.sparkSession)
+
+    def salted(df: DataFrame) -> Column:
+        return F.when(any_null(keys), row_salt(df, tasks)).otherwise(F.lit(0))
+
+    theirs = [f"__key_{i}" for i in range(len(keys))]
+    shared = common_kinds(target, source, keys)
+    packed = source.select(
+        *[column(k).cast(kind).alias(t) for k, t, kind in zip(keys, theirs, shared)],
+        salted(source).alias(_THEIR_SALT),
+        newest.alias(_NEWEST),
+        F.struct(*map(column, source.columns)).alias(_ROW),
+    )
+    if unique_source:
+        packed = packed.withColumn(_COUNT, F.lit(1)).withColumn(_RANK, F.lit(1))
+    else:
+        by_key = Window.partitionBy(*theirs, _THEIR_SALT)
+        packed = packed.withColumn(_RANK, F.row_number().over(by_key.orderBy(F.desc_nulls_last(_NEWEST))))
+        packed = packed.withColumn(_COUNT, F.count(F.lit(1)).over(by_key))
+    ours = target.withColumn(_SALT, salted(target)).withColumn(_MINE, F.lit(True))
+    same = [ours[k].cast(kind) == packed[t] for k, t, kind in zip(keys, theirs, shared)]
+    is_new = F.col(_MINE).isNull()
+    joined = (
+        ours.join(packed, [*same, ours[_SALT] == packed[_THEIR_SALT]], "full")
+        .where(is_new | F.col(_ROW).isNull() | (F.col(_RANK) == 1))
+        .withColumn(_UPDATE, is_new | _updates(keys, is_newer))
+    )
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    merged = []
+    for name, our, their in _evolved(target, source):
+        if their is None:
+            merged.append(column(our))
+            continue
+        old = column(our) if our else F.lit(None)
+        new = F.col(_ROW).getField(their)
+        new = new.cast(kinds[our]) if our else new
+        new = F.coalesce(new, old) if fill_nulls else new
+        merged.append(F.when(F.col(_UPDATE), new).otherwise(old).alias(name))
+    return joined.select(*merged)
+
+
 def merge_newer(
     target: DataFrame,
     source: DataFrame,
@@ -130,7 +203,8 @@ def merge_newer(
     nothing.  With ``evolve``, new source columns are added and columns the
     source lacks keep their value, null for inserted rows.  Several source rows
     for one updated row raise; ``unique_source`` promises there are none and
-    saves the aggregation that finds out.
+    saves what it takes to find out.  ``split_above`` is for targets with many rows
+    of one key: above that size they are joined in two passes, heavy keys split.
 
     With ``fill_nulls``, an update keeps the stored value where the source has
     null: the same as back-filling the source first, but the stored table is
@@ -141,6 +215,7 @@ def merge_newer(
         source,
         key_list(keys),
         lambda row: F.max_by(row, row.getField(incremental_key)),
+        column(incremental_key),
         lambda row: row.getField(incremental_key) > column(incremental_key),
         unique_source,
         evolve,
@@ -163,6 +238,7 @@ def merge_always(
         source,
         key_list(keys),
         F.any_value,
+        F.lit(0),
         lambda row: F.lit(True),
         unique_source,
         evolve,

@@ -122,7 +122,7 @@ def heavy_hashes(df: DataFrame, digest: Column) -> DataFrame:
     )
 
 
-def _common_kinds(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[DataType]:
+def common_kinds(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[DataType]:
     both = left.select(*map(column, keys)).unionAll(right.select(*map(column, keys)))
     return [f.dataType for f in both.schema.fields]
 
@@ -144,7 +144,7 @@ def lookup_join(
     right = right.where(~any_null(keys))
     if is_broadcastable(right) or not is_large(left, split_above):
         return left.join(right, keys, how)
-    digest = key_hash(keys, _common_kinds(left, right, keys))
+    digest = key_hash(keys, common_kinds(left, right, keys))
     heavy = heavy_hashes(left.where(~any_null(keys)), digest)
     salts = (
         F.when(any_null(keys), F.lit(fan_out(left.sparkSession)))

@@ -193,3 +193,43 @@ def test_assemble_and_views(spark, target, source):
         spark, {"s": target}, ["id", "v"], "id", "id + 100", "inc2", "inc", "p", "1", "s"
     )
     assert raw_key.columns == ["id", "v", "inc2", "p"] and raw_key.agg(F.max("id")).first()[0] == 9
+
+
+def test_merge_in_one_pass(shuffled, tmp_path):
+    """Two scans and two shuffles, and the rows of the merge by broadcast joins."""
+    stored = shuffled.range(3000).select(
+        F.when(F.col("id") % 9 > 0, F.col("id")).alias("key"), F.lit(5).alias("inc"), F.col("id").cast("string").alias("old")
+    )
+    batch = shuffled.range(2000, 5000).select(
+        F.when(F.col("id") % 5 > 0, F.col("id")).cast("int").alias("KEY"),
+        (F.col("id") % 10).cast("int").alias("inc"),
+        F.lit("n").alias("new"),
+    )
+    # Two rows of keys that are new, or not newer than the stored row, are no conflict.
+    batch = batch.unionAll(batch.where("key > 4000 OR (key < 3000 AND key % 10 < 5)"))
+    stored.write.parquet(str(tmp_path / "stored"))
+    batch.write.parquet(str(tmp_path / "batch"))
+    stored, batch = (shuffled.read.parquet(str(tmp_path / n)) for n in ("stored", "batch"))
+    for merge in (
+        lambda: merge_newer(stored, batch, "key", "inc"),
+        lambda: merge_newer(stored, batch, "key", "inc", fill_nulls=True),
+        lambda: merge_always(stored, batch.where("key IS NULL OR key < 4000 AND key % 10 >= 5"), "key"),
+    ):
+        shuffled.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        once = merge()
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 2 and plan.count("Exchange hashpartitioning") == 2
+        shuffled.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        twice = merge()
+        assert once.columns == twice.columns and once.schema == twice.schema
+        assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
+
+
+def test_conflicts_raise_in_one_pass(shuffled):
+    stored = shuffled.createDataFrame([(1, 1)], "key INT, inc INT")
+    batch = shuffled.createDataFrame([(1, 2), (1, 3)], "key INT, inc INT")
+    with pytest.raises(Exception, match="several source rows"):
+        merge_newer(stored, batch, "key", "inc").collect()
+    with pytest.raises(Exception, match="several source rows"):
+        merge_always(stored, batch, "key").collect()
+    assert merge_newer(stored, batch.where("inc = 3"), "key", "inc", unique_source=True).collect() == [(1, 3)]
