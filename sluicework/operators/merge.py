@@ -278,7 +278,8 @@ def change_feed(
     Rows are netted by their whole content, which drops everything unchanged by
     partial aggregation and never pairs rows of a key.  What is left counts as an
     update where a key occurs on both sides, else as insert or delete.  Columns
-    that are new in ``after`` were null before.
+    that are new in ``after`` were null before.  With ``split_above``, changed rows
+    of heavy keys are split above that size, at the price of netting them twice.
     """
     keys = key_list(keys)
     names = after.columns
@@ -293,21 +294,28 @@ def change_feed(
     changed = (
         signed.groupBy(*map(column, names)).agg(F.sum(_NET).alias(_NET)).where(f"{_NET} != 0")
     )
-    updated = (
-        changed.where(~any_null(keys))
-        .groupBy(*map(column, keys))
-        .agg(F.min(_NET).alias("__least"), F.max(_NET).alias("__most"))
-        .where("__least < 0 AND __most > 0")
-        .select(*map(column, keys), F.lit(True).alias(_UPDATE))
-    )
+    if split_above is None:
+        # Changed rows are netted once; null keys are no update and are spread.
+        salt = F.when(any_null(keys), row_salt(changed, fan_out(changed.sparkSession))).otherwise(F.lit(0))
+        by_key = Window.partitionBy(*map(column, keys), _SALT)
+        on_both = (F.min(_NET).over(by_key) < 0) & (F.max(_NET).over(by_key) > 0)
+        typed = changed.withColumn(_SALT, salt).withColumn(_UPDATE, ~any_null(keys) & on_both)
+    else:
+        updated = (
+            changed.where(~any_null(keys))
+            .groupBy(*map(column, keys))
+            .agg(F.min(_NET).alias("__least"), F.max(_NET).alias("__most"))
+            .where("__least < 0 AND __most > 0")
+            .select(*map(column, keys), F.lit(True).alias(_UPDATE))
+        )
+        typed = lookup_join(changed, updated, keys, "left", split_above)
     kind = (
         F.when(F.col(_UPDATE) & (F.col(_NET) < 0), PREIMAGE)
         .when(F.col(_UPDATE), POSTIMAGE)
         .when(F.col(_NET) < 0, DELETE)
         .otherwise(INSERT)
     )
-    typed = lookup_join(changed, updated, keys, "left", split_above).withColumn(CHANGE_TYPE, kind)
-    return _repeat_copies(typed).select(*map(column, names), CHANGE_TYPE)
+    return _repeat_copies(typed.withColumn(CHANGE_TYPE, kind)).select(*map(column, names), CHANGE_TYPE)
 
 
 def _repeat_copies(df: DataFrame) -> DataFrame:

@@ -217,19 +217,24 @@ SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING
 
 
 def snapshot_changes(spark, sf_dir):
-    """Changes of orders with a key: altered, gone and new ones."""
-    before = _stored_orders(spark, sf_dir).where("id IS NOT NULL")
-    after = _order_batch(spark, sf_dir).where("id IS NOT NULL")
+    """Changes of all orders: altered, gone and new ones; those without a key are netted."""
+    before = _stored_orders(spark, sf_dir)
+    after = _order_batch(spark, sf_dir)
     untouched = before.join(after, "id", "left_semi").where("price > 250000")
-    after = after.where("price <= 250001").unionByName(untouched)
+    unnamed = before.where("id IS NULL AND price > 200000")
+    after = after.where("price <= 250001").unionByName(untouched).unionByName(unnamed)
     return change_feed(before, after, "id")
 
 
-SNAPSHOT_CHANGES = f"""{MERGE_INPUTS}, prior AS (SELECT * FROM stored WHERE id IS NOT NULL),
-later AS (
-  SELECT * FROM batch WHERE id IS NOT NULL AND price <= 250001
+SNAPSHOT_CHANGES = f"""{MERGE_INPUTS}, before_all AS (SELECT * FROM stored),
+after_all AS (
+  SELECT * FROM batch WHERE price <= 250001
   UNION ALL
-  SELECT * FROM prior p WHERE price > 250000 AND EXISTS (SELECT 1 FROM batch b WHERE b.id = p.id)),
+  SELECT * FROM stored p WHERE price > 250000 AND EXISTS (SELECT 1 FROM batch b WHERE b.id = p.id)
+  UNION ALL
+  SELECT * FROM stored WHERE id IS NULL AND price > 200000),
+prior AS (SELECT * FROM before_all WHERE id IS NOT NULL),
+later AS (SELECT * FROM after_all WHERE id IS NOT NULL),
 both_sides AS (
   SELECT p.id FROM prior p JOIN later l ON p.id = l.id
   WHERE p.changed_at IS DISTINCT FROM l.changed_at OR p.status IS DISTINCT FROM l.status
@@ -238,6 +243,8 @@ SELECT p.*, 'update_preimage' AS _change_type FROM prior p WHERE p.id IN (SELECT
 UNION ALL SELECT l.*, 'update_postimage' FROM later l WHERE l.id IN (SELECT id FROM both_sides)
 UNION ALL SELECT p.*, 'delete' FROM prior p WHERE NOT EXISTS (SELECT 1 FROM later l WHERE l.id = p.id)
 UNION ALL SELECT l.*, 'insert' FROM later l WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.id = l.id)
+UNION ALL SELECT *, 'delete' FROM (SELECT * FROM before_all WHERE id IS NULL EXCEPT ALL SELECT * FROM after_all WHERE id IS NULL)
+UNION ALL SELECT *, 'insert' FROM (SELECT * FROM after_all WHERE id IS NULL EXCEPT ALL SELECT * FROM before_all WHERE id IS NULL)
 """
 
 QUERIES = {

@@ -233,3 +233,15 @@ def test_conflicts_raise_in_one_pass(shuffled):
     with pytest.raises(Exception, match="several source rows"):
         merge_always(stored, batch, "key").collect()
     assert merge_newer(stored, batch.where("inc = 3"), "key", "inc", unique_source=True).collect() == [(1, 3)]
+
+
+def test_change_feed_nets_once(shuffled, tmp_path):
+    before = shuffled.range(1000).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("key"), (F.col("id") % 3).alias("v"))
+    before.write.parquet(str(tmp_path / "before"))
+    before.where("v > 0").withColumn("v", F.col("v") + F.col("key") % 2).write.parquet(str(tmp_path / "after"))
+    sides = [shuffled.read.parquet(str(tmp_path / n)) for n in ("before", "after")]
+    feed = change_feed(*sides, "key")
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 2 and plan.count("Exchange hashpartitioning") == 2
+    split = change_feed(*sides, "key", split_above=0)
+    assert feed.exceptAll(split).isEmpty() and split.exceptAll(feed).isEmpty()
