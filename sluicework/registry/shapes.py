@@ -234,6 +234,36 @@ SELECT event_id, user_id AS meta_who,
 FROM (SELECT *, event_type <> 'error' AS ok FROM events)
 """
 
+def _threads(spark, sf_dir, key):
+    """Whole conversations as documents; their turns are an array of varying length."""
+    turns = table(spark, sf_dir, "conversations").withColumn("kind", key)
+    turn = F.struct("turn", "role", "text", "kind")
+    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+
+
+def flatten_chosen(spark, sf_dir):
+    """Chosen columns flattened; the others, nested or not, do not come along."""
+    threads = _threads(spark, sf_dir, F.lit("x")).withColumn("other", F.array(F.struct(F.lit(1).alias("a"))))
+    return nested.flatten(threads, columns=["turns", "conv_id"])
+
+
+FLATTEN_CHOSEN = """
+SELECT conv_id, turn AS turns_turn, role AS turns_role, text AS turns_text, 'x' AS turns_kind FROM conversations
+"""
+
+
+def pivot_null_keys(spark, sf_dir):
+    """Turns by their place; later ones have a null key, which makes no column."""
+    kind = F.when(F.col("turn") == 0, "first").when(F.col("turn") == 1, "second")
+    threads = _threads(spark, sf_dir, kind).withColumn("turns", F.transform("turns", lambda t: F.struct(t["kind"], t["text"])))
+    return nested.pivot(threads, "turns", "kind")
+
+
+PIVOT_NULL_KEYS = """
+SELECT conv_id, min(text) FILTER (WHERE turn = 0) AS first, min(text) FILTER (WHERE turn = 1) AS second
+FROM conversations GROUP BY conv_id
+"""
+
 QUERIES = {
     "coalesce_dup_columns": Query(coalesce_dup_columns, COALESCE_DUP_COLUMNS),
     "keep_last_dup_column": Query(keep_last_dup_column, KEEP_LAST_DUP_COLUMN),
@@ -246,4 +276,6 @@ QUERIES = {
     "pivot_array_single": Query(pivot_array_single, PIVOT_ARRAY_SINGLE),
     "pivot_array_multi": Query(pivot_array_multi, PIVOT_ARRAY_MULTI),
     "pivot_in_flatten": Query(pivot_in_flatten, PIVOT_IN_FLATTEN),
+    "flatten_columns": Query(flatten_chosen, FLATTEN_CHOSEN),
+    "pivot_null_keys": Query(pivot_null_keys, PIVOT_NULL_KEYS),
 }
