@@ -1,25 +1,33 @@
-"""Token ids of whole texts by a public tokenizer file, with a cache of words."""
+"""Token ids of whole texts by a public tokenizer file, with a memory for words."""
 
 from __future__ import annotations
 
 import functools
 import os
-from collections.abc import Sequence
+import unicodedata
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 
-#: Words a worker remembers, and their length in bytes. When full it starts anew.
-CACHED_WORDS = 400_000
-CACHED_BYTES = 48
+#: Words a worker remembers, the first it meets, and their length in bytes.
+KNOWN_WORDS = 550_000
+KNOWN_BYTES = 40
+
+#: Words encoded at a time, and letter-only words joined into one text.
+CHUNK = 2_000
+JOINED = 50
 
 ID_BYTES = 4
 
+_MARKS = b".,"
+
 
 class WordTokenizer:
     """Encodes text word by word and remembers the words.
 
-    For tokenizers whose pre-tokenizer never joins characters across white space and
-    drops the white space, so that a text has the ids of its words in a row.
+    For byte-pair tokenizers with a suffix at the end of a word, whose pre-tokenizer
+    cuts letters from other characters and drops white space; so a text has the ids of
+    its words in a row, and a run of letters ends with the only such suffix in it.
     """
 
     def __init__(self, path: str) -> None:
@@ -28,33 +36,73 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[bytes, bytes] = {}
+        self._ends = np.zeros(self.size, bool)
+        for token, number in self._tokenizer.get_vocab().items():
+            self._ends[number] = token.endswith("</w>")
 
     @property
     def size(self) -> int:
-        return self._tokenizer.get_vocab_size()
+        return max(self._tokenizer.get_vocab().values()) + 1
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(one.ids, "<u4") for one in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        found: dict[bytes, bytes] = {}
+        letters, others = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            (letters if unicodedata.normalize("NFC", text).lower().isalpha() else others).append((word, text))
+        for at in range(0, len(others), CHUNK):
+            part = others[at : at + CHUNK]
+            found.update((word, ids.tobytes()) for (word, _), ids in zip(part, self._ids([t for _, t in part]), strict=True))
+        for at in range(0, len(letters), CHUNK):
+            part = letters[at : at + CHUNK]
+            groups = [part[i : i + JOINED] for i in range(0, len(part), JOINED)]
+            for group, ids in zip(groups, self._ids([" ".join(t for _, t in g) for g in groups]), strict=True):
+                ends = ((np.flatnonzero(self._ends[ids]) + 1) * ID_BYTES).tolist()
+                data, start = ids.tobytes(), 0
+                for (word, _), end in zip(group, ends, strict=True):
+                    found[word], start = data[start:end], end
+        return found
+
+    def _learned(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words. A word that ends with marks after a letter is the two."""
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        needed = set()
+        for word in missing:
+            stem = word.rstrip(_MARKS)
+            if stem != word and stem[-1:].isalpha():
+                parts[word] = stem, word[len(stem) :]
+                needed.update(parts[word])
+            else:
+                needed.add(word)
+        ids = self._encoded(needed - self._known.keys())
+        if len(self._known) < KNOWN_WORDS:
+            self._known.update((word, i) for word, i in ids.items() if len(word) <= KNOWN_BYTES)
+
+        def of(word: bytes) -> bytes:
+            return ids[word] if word in ids else self._known[word]
 
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        texts = [word.decode("utf-8", "replace") for word in words]
-        return [
-            np.array(found.ids, "<u4").tobytes()
-            for found in self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        ]
+        return {word: of(parts[word][0]) + of(parts[word][1]) if word in parts else of(word) for word in missing}
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers; null is empty."""
         split = [text.encode("utf-8", "replace").split() if text else [] for text in texts]
-        missing = list(set().union(*split) - self._known.keys())
-        if len(self._known) + len(missing) > CACHED_WORDS:
-            self._known.clear()
-            missing = list(set().union(*split))
-        short = [word for word in missing if len(word) <= CACHED_BYTES]
-        self._known.update(zip(short, self._encoded(short), strict=True))
-        if len(short) == len(missing):
-            return [b"".join(map(self._known.__getitem__, words)) for words in split]
-        return [
-            b"".join(self._known[word] if word in self._known else self._encoded([word])[0] for word in words)
-            for words in split
-        ]
+        ids = [list(map(self._known.get, words)) for words in split]
+        gaps = []
+        for words, own in zip(split, ids, strict=True):
+            at = -1
+            for _ in range(own.count(None)):
+                at = own.index(None, at + 1)
+                gaps.append((own, at, words[at]))
+        if gaps:
+            learned = self._learned({word for _, _, word in gaps})
+            if len(self._known) < KNOWN_WORDS:
+                self._known.update((word, i) for word, i in learned.items() if len(word) <= KNOWN_BYTES)
+            for own, at, word in gaps:
+                own[at] = learned[word]
+        return list(map(b"".join, ids))
 
 
 @functools.lru_cache(maxsize=2)
