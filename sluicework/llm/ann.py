@@ -21,20 +21,24 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.vectors import Block, against_shards, best_of, merged, usable
 
-PROJECTIONS = 64
+PROJECTIONS = 48
 SEED = 11
 
 #: Windows that a candidate lies in, as a share of all.
 COLLISIONS = 0.7
 
 #: Candidates that end the widening, as a share of a shard and in multiples of k.
-LEAST_SHARE = 0.15
+LEAST_SHARE = 0.2
 LEAST_TIMES = 8
 
 #: Half of the first window over the norm, and the factor of each step.
 FIRST_WIDTH = 0.6
 STEP = 1.08
 
+#: Steps, and queries, whose windows are looked up together.
+WIDENINGS = 8
+QUERIES = 64
+
 
 class CollisionIndex:
     """Sorted projections of the vectors of one shard."""
@@ -49,28 +53,46 @@ class CollisionIndex:
         self._values = np.ascontiguousarray(np.take_along_axis(values, order, 0).T)
         self._order = np.ascontiguousarray(order.T)
 
+    def _windows(self, at: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ends of the windows of WIDENINGS steps from ``first``: by query, step, projection."""
+        widths = FIRST_WIDTH * self.norm * STEP ** np.arange(first, first + WIDENINGS)
+        sides = ((-widths, "left"), (widths, "right"))
+        ends = (
+            np.stack([np.searchsorted(v, x[:, None] + w, side) for v, x in zip(self._values, at.T, strict=True)], 2)
+            for w, side in sides
+        )
+        return tuple(ends)
+
     def candidates(self, queries: np.ndarray, k: int) -> Iterator[np.ndarray]:
         """Of each query the rows in enough windows: at least k and a share, or all."""
-        count = len(self.shard.ids)
-        enough = min(count, int(LEAST_TIMES * k + LEAST_SHARE * count))
         scaled = queries * (self.norm / np.linalg.norm(queries, axis=1, keepdims=True))
         at = scaled @ self._axes[:-1]
-        for values in at:
-            low = high = [np.searchsorted(v, x) for v, x in zip(self._values, values, strict=True)]
-            collisions = np.zeros(count, np.int64)
-            width = FIRST_WIDTH * self.norm
-            while True:
-                new_low = [np.searchsorted(v, x - width, "left") for v, x in zip(self._values, values, strict=True)]
-                new_high = [np.searchsorted(v, x + width, "right") for v, x in zip(self._values, values, strict=True)]
-                parts = [o[a:b] for o, a, b in zip(self._order, new_low, low, strict=True)]
-                parts += [o[a:b] for o, a, b in zip(self._order, high, new_high, strict=True)]
-                collisions += np.bincount(np.concatenate(parts), minlength=count)
-                low, high = new_low, new_high
-                found = np.flatnonzero(collisions >= COLLISIONS * PROJECTIONS)
-                if len(found) >= enough or sum(high) - sum(low) == count * PROJECTIONS:
-                    yield found
-                    break
-                width *= STEP
+        for start in range(0, len(at), QUERIES):
+            part = at[start : start + QUERIES]
+            for own, low, high in zip(part, *self._windows(part, 0), strict=True):
+                yield self._widened(own, low, high, k)
+
+    def _widened(self, at: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+        count = len(self.shard.ids)
+        enough = min(count, int(LEAST_TIMES * k + LEAST_SHARE * count))
+        collisions = np.zeros(count, np.int64)
+        had_low = had_high = None
+        step = 0
+        while True:
+            if step and step % WIDENINGS == 0:
+                (low,), (high,) = self._windows(at[None], step)
+            new_low, new_high = low[step % WIDENINGS].tolist(), high[step % WIDENINGS].tolist()
+            if had_low is None:
+                parts = [o[a:b] for o, a, b in zip(self._order, new_low, new_high, strict=True)]
+            else:
+                parts = [o[a:b] for o, a, b in zip(self._order, new_low, had_low, strict=True)]
+                parts += [o[a:b] for o, a, b in zip(self._order, had_high, new_high, strict=True)]
+            collisions += np.bincount(np.concatenate(parts), minlength=count)
+            found = np.flatnonzero(collisions >= COLLISIONS * PROJECTIONS)
+            if len(found) >= enough or sum(new_high) - sum(new_low) == count * PROJECTIONS:
+                return found
+            had_low, had_high = new_low, new_high
+            step += 1
 
     def search(self, queries: Block, k: int) -> Iterator[tuple[int, list, list]]:
         for query, vector, rows in zip(queries.ids, queries.vectors, self.candidates(queries.vectors, k + 1), strict=True):
