@@ -142,10 +142,11 @@ def remove_repeated_spans(documents: DataFrame) -> DataFrame:
     found = map_arrow(
         texts.filter("text IS NOT NULL"), _all_runs, "run long, doc_id long, text_hash long, first int, length int"
     )
-    repeated = found.groupBy("run").count().filter("count > 1").select("run")
+    # Written tables on both sides let Spark split a run that very many documents hold.
+    repeated = written_out(found.groupBy("run").count().filter("count > 1").select("run"))
     places = written_out(found.join(repeated, "run"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "first")
-    first = places.groupBy("run").agg(F.min(place).alias("first_place"))
+    first = written_out(places.groupBy("run").agg(F.min(place).alias("first_place")))
     later = (
         places.join(first, "run")
         .filter(place != F.col("first_place"))
