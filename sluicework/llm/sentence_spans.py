@@ -19,16 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.tasks import map_arrow
-from sluicework.llm.words import mixed, words_of
+from sluicework.llm.words import mixed
 from sluicework.sources.scratch import written_out
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 
-#: Unpunctuated text: a sentence of more words is cut after words whose hash is
-#: divisible by the second number, so at the same words in every document.
-LONG_SENTENCE = 32
-CUT_ONE_IN = 8
+#: Between the ends of sentences a text is cut after the word of the least hash among
+#: every so many words that hold no end: a cut depends on the words beside it alone, no
+#: piece has more words, and pieces differ in so many words at most at a passage's bounds.
+CUT_WINDOW = 6
 
 _ENDS = re.compile(r"[.!?。！？]+[\"'”’)\]]*\s+|\n[^\S\n]*\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -36,29 +36,43 @@ _STEP = 0x9E3779B97F4A7C15
 _STEP_INVERSE = pow(_STEP, -1, 1 << 64)
 
 
+def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word its hash and the place in the text where the next one starts."""
+    lengths = np.fromiter(map(len, _WORD.findall(text)), np.int64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, text.lower().split()), np.uint64, len(lengths))
+    return hashes, np.cumsum(lengths) + (len(text) - lengths.sum())
+
+
+def _cuts(text: str, hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Numbers of words before the end of each piece, in ascending order."""
+    count = len(hashes)
+    if not count:
+        return np.zeros(0, np.int64)
+    closed = np.zeros(count, bool)
+    stops = np.array([m.end() for m in _ENDS.finditer(text)], np.int64)
+    closed[np.searchsorted(ends, stops[stops >= ends[0]])] = True
+    closed[-1] = True
+    windows = count - CUT_WINDOW + 1
+    if windows > 0:
+        value = np.where(closed, np.uint64(0), mixed(hashes) | np.uint64(1))
+        least = value[:windows].copy()
+        for k in range(1, CUT_WINDOW):
+            np.minimum(least, value[k : k + windows], out=least)
+        # Least of a window is what is not above the largest of its windows' least values.
+        bound = np.zeros(count, np.uint64)
+        for k in range(CUT_WINDOW):
+            np.maximum(bound[k : k + windows], least, out=bound[k : k + windows])
+        closed |= value <= bound
+    return np.flatnonzero(closed) + 1
+
+
 def sentences(text: str) -> list[str]:
     """The text in pieces, each with the white space after it; joined they are the text."""
-    found, at = [], 0
-    for end in [m.end() for m in _ENDS.finditer(text)] + [len(text)]:
-        if end > at:
-            piece = text[at:end]
-            at = end
-            if len(piece) > 2 * LONG_SENTENCE and len(piece.split(None, LONG_SENTENCE)) > LONG_SENTENCE:
-                found.extend(_cut(piece))
-            else:
-                found.append(piece)
-    return found
-
-
-def _cut(piece: str) -> list[str]:
-    parts, at = [], 0
-    for m in _WORD.finditer(piece):
-        if xxhash.xxh3_64_intdigest(m[0].strip().lower()) % CUT_ONE_IN == 0:
-            parts.append(piece[at : m.end()])
-            at = m.end()
-    if at < len(piece):
-        parts.append(piece[at:])
-    return parts
+    hashes, ends = _words(text)
+    if not len(ends):
+        return [text] if text else []
+    places = [0, *ends[_cuts(text, hashes, ends) - 1].tolist()]
+    return [text[a:b] for a, b in zip(places, places[1:], strict=False)]
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -70,19 +84,18 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each run its hash, first sentence and number of sentences."""
-    pieces = [words_of(piece.lower()) for piece in sentences(text or "")]
-    count = len(pieces)
-    words = np.fromiter(map(len, pieces), np.int64, count)
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(p)) for p in pieces), np.uint64, count)
-    before = np.concatenate([[0], np.cumsum(words)])
+    hashes, ends = _words(text or "")
+    before = np.concatenate([[0], _cuts(text or "", hashes, ends)])
+    count = len(before) - 1
     first = np.arange(count)
     # The number of sentences by which the words suffice, and at least the least number.
     end = np.maximum(np.searchsorted(before, before[:-1] + MIN_WORDS, "left"), first + MIN_SENTENCES)
     fits = end <= count
     first, end = first[fits], end[fits]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_STEP, count), dtype=np.uint64)])
-    run = (total[end] - total[first]) * _powers(_STEP_INVERSE, count)[first]
-    return mixed(run + (end - first).astype(np.uint64)).view(np.int64), first, end - first
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_STEP, len(hashes)), dtype=np.uint64)])
+    start, stop = before[first], before[end]
+    run = (total[stop] - total[start]) * _powers(_STEP_INVERSE, len(hashes) + 1)[start]
+    return mixed(run + (stop - start).astype(np.uint64)).view(np.int64), first, end - first
 
 
 def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

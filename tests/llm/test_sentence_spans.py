@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sluicework.llm.sentence_spans import MIN_SENTENCES, MIN_WORDS, remove_repeated_spans, runs, sentences
+from sluicework.llm.sentence_spans import CUT_WINDOW, MIN_SENTENCES, MIN_WORDS, remove_repeated_spans, runs, sentences
 from tests.llm.helpers import DOCUMENT, documents
 
 
@@ -89,3 +89,23 @@ def test_run_depends_on_what_follows_only():
     tail = " ".join(f"Word{i} and more of it here." for i in range(9))
     a, b = runs("Start. " + tail), runs("Another start of it. And one. " + tail)
     assert set(a[0][1:].tolist()) <= set(b[0].tolist())
+
+
+def test_passage_without_punctuation_goes_up_to_its_ends(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(0, 80, 2):
+        bare = " ".join(f"v{rng.randrange(10**6)}" for _ in range(50))
+        rows += [(i, f"{'a b c d e f ' * (i % 5)}{bare} and so on"), (i + 1, f"Another beginning {bare} with an end. Done.")]
+    found = {r.doc_id: r.text for r in remove_repeated_spans(documents(spark, rows)).collect()}
+    left = [sum(w[0] == "v" for w in found[i].split()) for i, _ in rows]
+    assert set(left[::2]) == {50}
+    assert max(left[1::2]) < 15 and sum(left[1::2]) < 40 * 10
+
+
+def test_cut_does_not_depend_on_the_length_of_the_sentence():
+    rng = random.Random(5)
+    words = [f"v{rng.randrange(10**6)}" for _ in range(30)]
+    short, long = sentences(" ".join(words)), sentences(" ".join(["a b c d"] * 20 + words))
+    assert short[1:] == long[-len(short) + 1 :] and len(short) >= 5
+    assert max(len(p.split()) for p in long) <= CUT_WINDOW
