@@ -1,9 +1,10 @@
 """Removes passages that repeat, found as runs of consecutive sentences.
 
-From every sentence runs the shortest run of at least ``MIN_SENTENCES`` sentences and
-``MIN_WORDS`` words; what it holds depends on the text after its start alone. Runs are
-hashed and compared over all documents. Sentences in any run but the first of its
-hash are removed.
+At every sentence starts, and at every sentence ends, the shortest run of at least
+``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words; what it holds depends on the text
+after its start or before its end alone. Together they cover all that longer runs hold.
+Runs are hashed and compared over all documents. Sentences in any run but the first of
+its hash are removed.
 """
 
 from __future__ import annotations
@@ -87,11 +88,16 @@ def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes, ends = _words(text or "")
     before = np.concatenate([[0], _cuts(text or "", hashes, ends)])
     count = len(before) - 1
-    first = np.arange(count)
+    number = np.arange(count + 1)
     # The number of sentences by which the words suffice, and at least the least number.
-    end = np.maximum(np.searchsorted(before, before[:-1] + MIN_WORDS, "left"), first + MIN_SENTENCES)
-    fits = end <= count
-    first, end = first[fits], end[fits]
+    end = np.maximum(np.searchsorted(before, before + MIN_WORDS, "left"), number + MIN_SENTENCES)
+    first = np.minimum(np.searchsorted(before, before - MIN_WORDS, "right") - 1, number - MIN_SENTENCES)
+    starting, ending = end <= count, first >= 0
+    # Many runs are the shortest from either side.
+    first, end = np.divmod(
+        np.unique(np.concatenate([number[starting] * (count + 1) + end[starting], first[ending] * (count + 1) + number[ending]])),
+        count + 1,
+    )
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_STEP, len(hashes)), dtype=np.uint64)])
     start, stop = before[first], before[end]
     run = (total[stop] - total[start]) * _powers(_STEP_INVERSE, len(hashes) + 1)[start]

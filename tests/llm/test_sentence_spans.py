@@ -109,3 +109,38 @@ def test_cut_does_not_depend_on_the_length_of_the_sentence():
     short, long = sentences(" ".join(words)), sentences(" ".join(["a b c d"] * 20 + words))
     assert short[1:] == long[-len(short) + 1 :] and len(short) >= 5
     assert max(len(p.split()) for p in long) <= CUT_WINDOW
+
+
+def all_runs(rows):
+    """The same by looking at every run of any length."""
+    places, held = {}, []
+    for doc_id, text in rows:
+        pieces = [p.lower().split() for p in sentences(text)]
+        own = [
+            (tuple(map(tuple, pieces[at:end])), at, end)
+            for at in range(len(pieces))
+            for end in range(at + MIN_SENTENCES, len(pieces) + 1)
+            if sum(map(len, pieces[at:end])) >= MIN_WORDS
+        ]
+        held.append(own)
+        for run, at, _ in own:
+            places[run] = min(places.get(run, (doc_id, at)), (doc_id, at))
+    result = {}
+    for (doc_id, text), own in zip(rows, held, strict=True):
+        gone = {k for run, at, end in own if places[run] != (doc_id, at) for k in range(at, end)}
+        result[doc_id] = ("".join(p for k, p in enumerate(sentences(text)) if k not in gone), len(gone))
+    return result
+
+
+def test_equals_all_runs_where_passages_end_in_short_sentences(spark):
+    rng = random.Random(6)
+
+    def prose(*lengths):
+        return " ".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(n)) + "." for n in lengths)
+
+    passages = [prose(30, 8, 8, 3), prose(5, 6, 4, 6, 3, 2, 1), prose(6, 6, 6, 6, 2, 2)]
+    rows = [(i, f"{prose(5, 4)} {passages[i % 3]} {prose(6, 3)} {rng.choice(passages)}") for i in range(12)]
+    found = {r.doc_id: (r.text, r.removed_sentences) for r in remove_repeated_spans(documents(spark, rows)).collect()}
+    assert found == all_runs(rows)
+    for i in range(3, 12):
+        assert not set(passages[i % 3].split()[-3:]) & set(found[i][0].split())
