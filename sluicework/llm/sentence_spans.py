@@ -31,27 +31,47 @@ MIN_WORDS = 20
 #: piece has more words, and pieces differ in so many words at most at a passage's bounds.
 CUT_WINDOW = 6
 
-_ENDS = re.compile(r"[.!?。！？]+[\"'”’)\]]*\s+|\n[^\S\n]*\n\s*")
+#: Full-width marks end a sentence without white space after them.
+_WIDE_STOP = r"[。！？｡．]+[\"'”’)\]」』）】》]*\s*"
+_STOPS = re.compile(r"[.!?]+[\"'”’)\]]*\s+|" + _WIDE_STOP)
+_BREAKS = re.compile(r"\n\s*")
 _WORD = re.compile(r"\S+\s*")
+
+#: Letters of scripts without spaces (Thai to Lao, Myanmar, Khmer, kana, Han): each is a word.
+_DENSE = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
+_WIDE = "。！？｡．"
+_HAS_DENSE = re.compile(f"[{_DENSE}{_WIDE}]")
+_DENSE_WORD = re.compile(rf"[{_DENSE}]\s*|{_WIDE_STOP}|[^\s{_DENSE}{_WIDE}]+\s*")
 _STEP = 0x9E3779B97F4A7C15
 _STEP_INVERSE = pow(_STEP, -1, 1 << 64)
 
 
 def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Of each word its hash and the place in the text where the next one starts."""
-    lengths = np.fromiter(map(len, _WORD.findall(text)), np.int64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, text.lower().split()), np.uint64, len(lengths))
+    if text.isascii() or not _HAS_DENSE.search(text):
+        found, words = _WORD.findall(text), text.lower().split()
+    else:
+        found = _DENSE_WORD.findall(text)
+        words = [word.strip().lower() for word in found]
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     return hashes, np.cumsum(lengths) + (len(text) - lengths.sum())
 
 
+def _at(pattern: re.Pattern, text: str, ends: np.ndarray) -> np.ndarray:
+    """Whether a match ends where a word with its white space does."""
+    closed = np.zeros(len(ends), bool)
+    places = np.array([m.end() for m in pattern.finditer(text)], np.int64)
+    closed[np.searchsorted(ends, places[places >= ends[0]])] = True
+    return closed
+
+
 def _cuts(text: str, hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Numbers of words before the end of each piece, in ascending order."""
     count = len(hashes)
     if not count:
         return np.zeros(0, np.int64)
-    closed = np.zeros(count, bool)
-    stops = np.array([m.end() for m in _ENDS.finditer(text)], np.int64)
-    closed[np.searchsorted(ends, stops[stops >= ends[0]])] = True
+    closed = _at(_STOPS, text, ends)
     closed[-1] = True
     windows = count - CUT_WINDOW + 1
     if windows > 0:
@@ -64,6 +84,8 @@ def _cuts(text: str, hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         for k in range(CUT_WINDOW):
             np.maximum(bound[k : k + windows], least, out=bound[k : k + windows])
         closed |= value <= bound
+    # Line breaks end pieces too but move no other cut: a text wrapped in another way keeps those.
+    closed |= _at(_BREAKS, text, ends)
     return np.flatnonzero(closed) + 1
 
 

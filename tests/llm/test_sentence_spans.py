@@ -13,6 +13,12 @@ def test_sentences_make_up_the_text(text):
     assert "".join(sentences(text)) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a .!\n\u3000\u2028。！？」)是文カกｶ", max_size=80))
+def test_sentences_make_up_texts_without_spaces(text):
+    assert "".join(sentences(text)) == text
+
+
 def plain(rows):
     """The same by looking at every run as a tuple of words."""
     places, held = {}, []
@@ -144,3 +150,26 @@ def test_equals_all_runs_where_passages_end_in_short_sentences(spark):
     assert found == all_runs(rows)
     for i in range(3, 12):
         assert not set(passages[i % 3].split()[-3:]) & set(found[i][0].split())
+
+
+def test_line_break_ends_a_sentence(spark):
+    rng = random.Random(7)
+    passage = " ".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(n)) + "." for n in (5, 9, 14, 40))
+    rows = [(1, f"Before it. {passage} And so on."), (2, f"A heading of a few words\n{passage}\n- an item\n"), (3, f"- item\n{passage}")]
+    found = {r.doc_id: r.text for r in remove_repeated_spans(documents(spark, rows)).collect()}
+    assert found == {1: rows[0][1], 2: "A heading of a few words\n- an item\n", 3: "- item\n"}
+    assert sentences("One line\nanother line\n") == ["One line\n", "another line\n"]
+
+
+def test_texts_without_spaces(spark):
+    rng = random.Random(8)
+
+    def prose(n):
+        return "".join("".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(rng.randrange(5, 15))) + "。" for _ in range(n))
+
+    passage, bare = prose(5), "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(60))
+    rows = [(1, prose(2) + passage + prose(2)), (2, prose(3) + passage + prose(1)), (3, prose(1) + bare), (4, prose(2) + bare)]
+    found = {r.doc_id: r.text for r in remove_repeated_spans(documents(spark, rows)).collect()}
+    assert found[1] == rows[0][1] and found[3] == rows[2][1]
+    assert found[2] == rows[1][1].replace(passage, "")
+    assert sum(c in found[4] for c in bare) < 15
