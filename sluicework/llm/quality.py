@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.tasks import map_arrow
 from sluicework.llm.words import hash_words, words_of
+from sluicework.sources.scratch import written_out
 
-#: Rated documents that a fit takes, chosen by a hash of doc_id. They and their
-#: features pass through the driver; everything else covers all documents.
+#: Rated documents that a fit takes: rare grades whole, as many of the others as are left,
+#: chosen by a hash of doc_id and weighted by the share of their grade. They and
+#: their features pass through the driver; everything else covers all documents.
 MAX_RATED = 12_000
 
 FEATURE_BITS = 18
@@ -27,12 +29,15 @@ FEATURE_BITS = 18
 STEM_BYTES = 5
 
 #: Rated documents that must have a feature for it to get a weight.
-LEAST_RATED = 12
+LEAST_RATED = 2
 
 STEPS = 150
 RATE = 0.2
 RIDGE = 5e-5
 
+#: Marks that are no part of the word they stand at.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+
 _WIDTH = 1 << FEATURE_BITS
 _MASK = np.uint64(_WIDTH - 1)
 
@@ -57,9 +62,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = words_of(text)
     if not words:
         return _LENGTH[:1], np.ones(1)
-    hashes = hash_words(words)
+    hashes = hash_words([word.strip(_MARKS) or word for word in words])
     distinct = np.unique(hashes)
-    stems = hash_words(list({b"-" + word[:STEM_BYTES] for word in words if len(word) > STEM_BYTES}))
+    stems = hash_words(list({b"-" + word[:STEM_BYTES] for word in (word.strip(_MARKS) for word in words) if len(word) > STEM_BYTES}))
     present = np.unique((np.concatenate([distinct, stems]) & _MASK).astype(np.int64))
     counts = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)
     counts[ord("a") : ord("z") + 1] = 0
@@ -112,6 +117,29 @@ def _features_of(batches):
         )
 
 
+def _chosen(ratings: DataFrame, most: int) -> tuple[DataFrame, dict[int, float]]:
+    """At most so many rated ids with their grades, and for each grade how many ratings one stands for.
+
+    The rarest grade gets an equal part of the places, or as many as it fills; the next one an equal part of
+    what is left.
+    """
+    rated = written_out(
+        ratings.filter("doc_id IS NOT NULL AND grade IS NOT NULL")
+        .groupBy(F.col("doc_id").cast("long").alias("rated_id"))
+        .agg(F.min("grade").cast("int").alias("grade"))
+    )
+    counts = sorted((r["count"], r["grade"]) for r in rated.groupBy("grade").count().collect())
+    chosen, shares = rated.limit(0), {}
+    for k, (count, grade) in enumerate(counts):
+        taken = min(count, most // (len(counts) - k))
+        most -= taken
+        if taken:
+            own = rated.filter(F.col("grade") == grade)
+            chosen = chosen.unionAll(own if taken == count else own.orderBy(F.xxhash64("rated_id"), "rated_id").limit(taken))
+            shares[grade] = count / taken
+    return chosen, shares
+
+
 def fit(documents: DataFrame, ratings: DataFrame, max_rated: int = MAX_RATED) -> OrdinalModel:
     """A model of ``ratings`` (``doc_id``, ``grade`` from 0 up) of the documents.
 
@@ -119,13 +147,7 @@ def fit(documents: DataFrame, ratings: DataFrame, max_rated: int = MAX_RATED) ->
     counts. With fewer than two grades the model knows nothing: weights are 0, the
     thresholds let every document pass.
     """
-    rated = (
-        ratings.filter("doc_id IS NOT NULL AND grade IS NOT NULL")
-        .groupBy(F.col("doc_id").cast("long").alias("rated_id"))
-        .agg(F.min("grade").cast("int").alias("grade"))
-        .orderBy(F.xxhash64("rated_id"), "rated_id")
-        .limit(max_rated)
-    )
+    rated, shares = _chosen(ratings, max_rated)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most max_rated rows of two numbers.
     sample = texts.join(F.broadcast(rated), F.col("doc_id") == F.col("rated_id")).select("grade", "text")
@@ -136,14 +158,33 @@ def fit(documents: DataFrame, ratings: DataFrame, max_rated: int = MAX_RATED) ->
     places, parts = (b"".join(rows.column(c).to_pylist()) for c in ("places", "parts"))
     sizes = np.array([len(b) // 4 for b in rows.column("places").to_pylist()])
     del rows
-    return _fitted(grades, np.repeat(np.arange(len(grades), dtype=np.int32), sizes), np.frombuffer(places, "<i4"), np.frombuffer(parts, "<f4"))
+    weight = np.array([shares[g] for g in grades.tolist()])
+    return _fitted(grades, weight / weight.mean(), np.repeat(np.arange(len(grades), dtype=np.int32), sizes), np.frombuffer(places, "<i4"), np.frombuffer(parts, "<f4"))
 
 
-def _fitted(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray) -> OrdinalModel:
-    """Maximum likelihood with a ridge, by Adam on all rows."""
+def _certain(grades: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """How far each feature surely tells grades apart: the logarithm of the ratio of its shares on the two
+    sides of a threshold, less one standard error, at the threshold where it is largest."""
+    found = np.zeros(_WIDTH)
+    for cut in range(int(grades.max())):
+        low = grades <= cut
+        below, above = (np.bincount(column[side[row]], minlength=_WIDTH) + 0.5 for side in (low, ~low))
+        ratio = np.log(below / (low.sum() + 1)) - np.log(above / ((~low).sum() + 1))
+        np.maximum(found, np.abs(ratio) - np.sqrt(1 / below + 1 / above), out=found)
+    return found
+
+
+def _fitted(grades: np.ndarray, weight: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray) -> OrdinalModel:
+    """Maximum likelihood with a ridge, by Adam on all rows; each counts by its weight.
+
+    Values are scaled by what their feature surely tells. Else the many words that happen to be in one
+    document only fit its grade in place of the few that make it.
+    """
     rows = np.arange(len(grades))
-    common = (np.bincount(column, minlength=_WIDTH) >= LEAST_RATED)[column]
-    row, column, value = row[common], column[common], value[common]
+    scale = np.where(np.bincount(column, minlength=_WIDTH) >= LEAST_RATED, _certain(grades, row, column), 0)
+    used = scale[column] > 0
+    row, column, value = row[used], column[used], value[used]
+    value = value * scale[column]
     cuts = int(grades.max())
     # The first threshold, and the logarithms of the gaps to the next ones.
     shape = np.concatenate([[-2.0], np.zeros(cuts - 1)])
@@ -155,10 +196,10 @@ def _fitted(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.n
         below = np.column_stack([np.zeros(len(rows)), _logistic(thresholds[None, :] - score[:, None]), np.ones(len(rows))])
         high, low = below[rows, grades + 1], below[rows, grades]
         mass = np.maximum(high - low, 1e-12)
-        by_score = (1 - high - low) / len(rows)
+        by_score = weight * (1 - high - low) / len(rows)
         by_threshold = np.zeros(cuts + 2)
-        np.add.at(by_threshold, grades + 1, -high * (1 - high) / mass / len(rows))
-        np.add.at(by_threshold, grades, low * (1 - low) / mass / len(rows))
+        np.add.at(by_threshold, grades + 1, -weight * high * (1 - high) / mass / len(rows))
+        np.add.at(by_threshold, grades, weight * low * (1 - low) / mass / len(rows))
         by_threshold = by_threshold[1:-1]
         later = np.cumsum(by_threshold[::-1])[::-1]
         by_shape = np.concatenate([later[:1], later[1:] * np.exp(shape[1:])])
@@ -170,7 +211,7 @@ def _fitted(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.n
         weights -= move[:_WIDTH]
         shape -= move[_WIDTH:]
     thresholds = shape[0] + np.concatenate([[0.0], np.cumsum(np.exp(shape[1:]))])
-    return OrdinalModel(weights.astype(np.float32), thresholds)
+    return OrdinalModel((weights * scale).astype(np.float32), thresholds)
 
 
 def graded(model: OrdinalModel, text: Column | str) -> Column:

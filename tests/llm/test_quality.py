@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from sluicework.llm.quality import classify, features, fit, grades_of
+from sluicework.llm.quality import _chosen, classify, features, fit, grades_of
 from tests.llm.helpers import DOCUMENT, documents
 
 
@@ -74,3 +74,30 @@ def test_grades(spark):
 
 def test_features_of_nothing():
     assert [len(part) for part in features(None)] == [1, 1] == [len(part) for part in features(" \n")]
+
+
+def test_rare_words_of_a_rare_grade(spark):
+    rng = random.Random(11)
+    rows, ratings = [], []
+    for i in range(1800):
+        grade = 1 if i % 10 == 0 else rng.choice([0, 2, 2])
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.randrange(40, 120))]
+        if grade == 0:
+            words = [w + "%%%" for w in words]
+        if grade == 1:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), f"x{rng.randrange(60)}" + rng.choice(["", ",", ".", "!"]))
+        rows.append((i, " ".join(words)))
+        ratings.append((i, grade))
+    known = spark.createDataFrame(ratings[:1200], "doc_id long, grade int")
+    kept = {r.doc_id for r in classify(documents(spark, rows), known).filter("keep").collect()}
+    shares = [np.mean([i in kept for i, g in ratings[1200:] if g == grade]) for grade in range(3)]
+    assert shares[0] < 0.02 and shares[1] < 0.25 and shares[2] > 0.95
+
+
+def test_rare_grades_are_taken_whole(spark):
+    known = spark.createDataFrame([(i, 1 if i % 40 == 0 else 0 if i % 5 == 0 else 2) for i in range(2000)], "doc_id long, grade int")
+    chosen, shares = _chosen(known, 330)
+    found = [r.grade for r in chosen.collect()]
+    assert [found.count(g) for g in range(3)] == [140, 50, 140]
+    assert shares == {0: 350 / 140, 1: 1.0, 2: 1600 / 140}
