@@ -1,14 +1,16 @@
 """Jaccard self-join of word shingles by prefix filters under several token orders.
 
 A pair that is similar enough must share a token of the prefixes of both sets under
-every total order of the tokens. Three orders are used: by hash, by document
-frequency and hash, by document frequency and another hash. Their filters are
-intersected before a pair is verified on the whole sets.
+every total order of the tokens. Three orders are used. The first, by hash, filters
+rows: those stay that hold enough prefix tokens of other rows. The other two, by document
+frequency and hash and by document frequency and another hash, filter pairs: both must
+hold before a pair is verified on the whole sets.
 
 Texts with the same words are one node from the start. Only what holds a component
 together has to be verified: in each group of nodes that share a prefix token, all
 are compared with one pivot; groups that then lie in one component are settled, and
-only pairs of different components are compared in those that are left.
+only pairs of different components are compared in those that are left. Links inside
+settled groups are neither listed nor counted.
 """
 
 from __future__ import annotations
