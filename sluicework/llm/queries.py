@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluicework.llm import token_rollups
 from sluicework.llm.ann import nearest
+from sluicework.llm.fill_middle import fill_in_middle, restore
 from sluicework.llm.merkle import audit, warc_layout
 from sluicework.llm.ngram_join import ngram_jaccard_components
 from sluicework.llm.packing import pack_along_curve
@@ -180,6 +181,34 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("doc_id", "expected_grade", "tail", "keep")
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outputs = fill_in_middle(table(spark, sf_dir, "documents")).withColumn("row", F.struct("doc_id", "n", "form", "prefix_chars", "middle_chars"))
+    key = F.struct("row.*", F.sha2("output", 256).alias("output_sha256"))
+    back = restore(outputs.select(key.alias("row"), "form", "output"), "row")
+    return back.select("row.*", F.sha2("text", 256).alias("restored_sha256"))
+
+
+OP12_SQL = r"""
+WITH tokens AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t FROM documents),
+drawn AS (
+  SELECT *, len(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(t) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(t) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM tokens),
+parts AS (
+  SELECT *, coalesce(array_to_string(t[1:least(a, b)], ''), '') AS prefix,
+    coalesce(array_to_string(t[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+    coalesce(array_to_string(t[greatest(a, b) + 1:], ''), '') AS suffix FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 QUERIES = {
     "op1_url_filter": Query(op1_url_filter),
     "op2_curve_packing": Query(op2_curve_packing),
@@ -191,4 +220,5 @@ QUERIES = {
     "op8_poisson_mix": Query(op8_poisson_mix, OP8_SQL),
     "op9_exact_top_k": Query(op9_exact_top_k, OP9_SQL),
     "op10_ordinal_quality": Query(op10_ordinal_quality),
+    "op12_fill_middle": Query(op12_fill_middle, OP12_SQL),
 }
