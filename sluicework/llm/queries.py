@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluicework.llm import token_rollups
 from sluicework.llm.ann import nearest
 from sluicework.llm.fill_middle import fill_in_middle, restore
+from sluicework.llm.lexical import ranked_search
 from sluicework.llm.merkle import audit, warc_layout
 from sluicework.llm.ngram_join import ngram_jaccard_components
 from sluicework.llm.packing import pack_along_curve
@@ -181,6 +182,35 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("doc_id", "expected_grade", "tail", "keep")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+OP11_SQL = r"""
+WITH found AS (
+  SELECT doc_id, row_no, unnest(terms) AS term, len(terms) AS n FROM (
+    SELECT doc_id, row_number() OVER () AS row_no, regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents)),
+postings AS (SELECT doc_id, row_no, term, n::BIGINT AS n, count(*)::BIGINT AS tf FROM found GROUP BY ALL),
+corpus AS (SELECT count(DISTINCT row_no)::BIGINT AS docs, count(*)::BIGINT AS all_terms FROM found),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * (SELECT docs FROM corpus) + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+  FROM postings GROUP BY term),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, row_no, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // all_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), corpus GROUP BY item_id, row_no, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = fill_in_middle(table(spark, sf_dir, "documents")).withColumn("row", F.struct("doc_id", "n", "form", "prefix_chars", "middle_chars"))
     key = F.struct("row.*", F.sha2("output", 256).alias("output_sha256"))
@@ -220,5 +250,6 @@ QUERIES = {
     "op8_poisson_mix": Query(op8_poisson_mix, OP8_SQL),
     "op9_exact_top_k": Query(op9_exact_top_k, OP9_SQL),
     "op10_ordinal_quality": Query(op10_ordinal_quality),
+    "op11_ranked_search": Query(op11_ranked_search, OP11_SQL),
     "op12_fill_middle": Query(op12_fill_middle, OP12_SQL),
 }
