@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluicework.llm import token_rollups
 from sluicework.llm.ann import nearest
 from sluicework.llm.fill_middle import fill_in_middle, restore
+from sluicework.llm.html_template import main_text
 from sluicework.llm.lexical import ranked_search
 from sluicework.llm.merkle import audit, warc_layout
 from sluicework.llm.ngram_join import ngram_jaccard_components
@@ -239,6 +240,10 @@ FROM parts
 """
 
 
+def op13_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_url_filter": Query(op1_url_filter),
     "op2_curve_packing": Query(op2_curve_packing),
@@ -252,4 +257,5 @@ QUERIES = {
     "op10_ordinal_quality": Query(op10_ordinal_quality),
     "op11_ranked_search": Query(op11_ranked_search, OP11_SQL),
     "op12_fill_middle": Query(op12_fill_middle, OP12_SQL),
+    "op13_html_template": Query(op13_html_template),
 }
