@@ -10,16 +10,20 @@ is not shuffled at all.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
+from sluicework.operators.evolve import adds_fields, conformed, same_shape, widened_type
 from sluicework.operators.schema import column
 from sluicework.operators.skew import (
     any_null,
     common_kinds,
     fan_out,
     is_broadcastable,
+    is_orderable,
     key_list,
     lookup_join,
     row_salt,
@@ -42,6 +46,11 @@ _NEWEST = "__newest"
 _RANK = "__rank"
 _COPIES_PER_SLICE = 10_000
 
+# What a row of a merge with changes is: of the new state, or of what changed.
+OUTPUT = "_output"
+STATE = "state"
+CHANGES = "changes"
+
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Non-null keys that several rows share."""
@@ -51,18 +60,50 @@ def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _evolved(target: DataFrame, source: DataFrame) -> list[tuple[str, str | None, str | None]]:
-    """Output columns with their name in target and in source."""
-    in_source = {c.lower(): c for c in source.columns}
-    in_target = {c.lower() for c in target.columns}
-    columns = [(c, c, in_source.get(c.lower())) for c in target.columns]
-    return columns + [(c, None, c) for c in source.columns if c.lower() not in in_target]
-
-
-def _check_evolution(target: DataFrame, source: DataFrame, evolve: bool) -> None:
-    theirs, ours = ({c.lower() for c in df.columns} for df in (source, target))
-    if not evolve and theirs != ours:
-        raise ValueError(f"columns differ and evolve is off: {sorted(theirs ^ ours)}")
+@dataclass(frozen=True)
+class _Field:
+    """An output column: its name in target and in source, its type there and the wider one of both."""
+
+    name: str
+    ours: str | None
+    theirs: str | None
+    kind: DataType
+    source_kind: DataType | None
+
+    def stored(self) -> Column:
+        """The value of a target of :func:`_widened`."""
+        return column(self.ours) if self.ours else F.lit(None).cast(self.kind)
+
+    def new(self, row: Column, keep_stored: bool) -> Column:
+        """The value of a source row; inner fields that sources lack may be the stored ones."""
+        stored = column(self.ours) if self.ours and keep_stored else None
+        return conformed(row, self.source_kind, self.kind, stored)
+
+
+def _evolved(target: DataFrame, source: DataFrame, evolve: bool) -> list[_Field]:
+    """Output columns; raises if they are not those of the target and ``evolve`` is off."""
+    in_source = {f.name.lower(): f for f in source.schema.fields}
+    in_target = {f.name.lower() for f in target.schema.fields}
+    if not evolve and in_target != in_source.keys():
+        raise ValueError(f"columns differ and evolve is off: {sorted(in_target ^ in_source.keys())}")
+    fields = []
+    for own in target.schema.fields:
+        other = in_source.get(own.name.lower())
+        if not evolve and adds_fields(own.dataType, other.dataType):
+            raise ValueError(f"fields of {own.name} differ and evolve is off")
+        kind = widened_type(own.dataType, other.dataType) if other and evolve else own.dataType
+        fields.append(_Field(own.name, own.name, other and other.name, kind, other and other.dataType))
+    added = [f for f in source.schema.fields if f.name.lower() not in in_target]
+    return fields + [_Field(f.name, None, f.name, f.dataType, f.dataType) for f in added]
+
+
+def _widened(target: DataFrame, fields: list[_Field]) -> DataFrame:
+    """The target with its columns in their wider types; the same plan if none is wider."""
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    own = [f for f in fields if f.ours]
+    if all(same_shape(kinds[f.ours], f.kind) for f in own):
+        return target
+    return target.select(*[conformed(column(f.ours), kinds[f.ours], f.kind).alias(f.ours) for f in own])
 
 
 def _new_rows(target: DataFrame, source: DataFrame, keys: list[str], split: int | None) -> DataFrame:
@@ -74,18 +115,28 @@ def _new_rows(target: DataFrame, source: DataFrame, keys: list[str], split: int
     return lookup_join(source, present.distinct(), keys, "left_anti", split)
 
 
-def _insertable(target: DataFrame, rows: DataFrame) -> DataFrame:
-    kinds = {f.name: f.dataType for f in target.schema.fields}
+def _insertable(fields: list[_Field], rows: DataFrame) -> DataFrame:
     return rows.select(
         *[
-            (column(theirs) if theirs else F.lit(None))
-            .cast(kinds[ours] if ours else rows.schema[theirs].dataType)
-            .alias(name)
-            for name, ours, theirs in _evolved(target, rows)
+            (f.new(column(f.theirs), False) if f.theirs else F.lit(None).cast(f.kind)).alias(f.name)
+            for f in fields
         ]
     )
 
 
+def _updated(fields: list[_Field], fill_nulls: bool) -> list[Column]:
+    """Output columns of joined rows: those of the source row where it updates."""
+    found = []
+    for f in fields:
+        if f.theirs is None:
+            found.append(column(f.ours))
+            continue
+        new = f.new(F.col(_ROW).getField(f.theirs), True)
+        new = F.coalesce(new, f.stored()) if fill_nulls else new
+        found.append(F.when(F.col(_UPDATE), new).otherwise(f.stored()).alias(f.name))
+    return found
+
+
 def _merge(
     target: DataFrame,
     source: DataFrame,
@@ -98,9 +149,11 @@ def _merge(
     fill_nulls: bool,
     split_above: int | None,
 ) -> DataFrame:
-    _check_evolution(target, source, evolve)
+    fields = _evolved(target, source, evolve)
+    target = _widened(target, fields)
     if split_above is None and not is_broadcastable(source):
-        return _merge_in_one_pass(target, source, keys, newest, is_newer, unique_source, fill_nulls)
+        joined = _joined_in_one_pass(target, source, keys, newest, is_newer, unique_source)
+        return joined.select(*_updated(fields, fill_nulls))
     packed = source.where(~any_null(keys)).select(
         *map(column, keys), F.struct(*map(column, source.columns)).alias(_ROW)
     )
@@ -113,19 +166,8 @@ def _merge(
     joined = lookup_join(target, packed, keys, "left", split_above).withColumn(
         _UPDATE, _updates(keys, is_newer)
     )
-    kinds = {f.name: f.dataType for f in target.schema.fields}
-    updated = []
-    for name, ours, theirs in _evolved(target, source):
-        if theirs is None:
-            updated.append(column(ours))
-            continue
-        new = F.col(_ROW).getField(theirs)
-        old = column(ours) if ours else F.lit(None)
-        new = new.cast(kinds[ours]) if ours else new
-        new = F.coalesce(new, old) if fill_nulls else new
-        updated.append(F.when(F.col(_UPDATE), new).otherwise(old).alias(name))
-    inserts = _insertable(target, _new_rows(target, source, keys, split_above))
-    return joined.select(*updated).unionByName(inserts)
+    inserts = _insertable(fields, _new_rows(target, source, keys, split_above))
+    return joined.select(*_updated(fields, fill_nulls)).unionByName(inserts)
 
 
 def _updates(keys: list[str], is_newer: Callable[[Column], Column]) -> Column:
@@ -135,14 +177,13 @@ def _updates(keys: list[str], is_newer: Callable[[Column], Column]) -> Column:
     return F.when(newer & (F.col(_COUNT) > 1), ambiguous.cast("boolean")).otherwise(newer)
 
 
-def _merge_in_one_pass(
+def _joined_in_one_pass(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
     newest: Column,
     is_newer: Callable[[Column], Column],
     unique_source: bool,
-    fill_nulls: bool,
 ) -> DataFrame:
     """A full outer join with markers.  Null keys match nothing in it, so they are
     spread by a salt; source rows of a key meet a target row by the newest alone."""
@@ -167,24 +208,11 @@ def _merge_in_one_pass(
         packed = packed.withColumn(_COUNT, F.count(F.lit(1)).over(by_key))
     ours = target.withColumn(_SALT, salted(target)).withColumn(_MINE, F.lit(True))
     same = [ours[k].cast(kind) == packed[t] for k, t, kind in zip(keys, theirs, shared)]
-    is_new = F.col(_MINE).isNull()
-    joined = (
+    return (
         ours.join(packed, [*same, ours[_SALT] == packed[_THEIR_SALT]], "full")
-        .where(is_new | F.col(_ROW).isNull() | (F.col(_RANK) == 1))
-        .withColumn(_UPDATE, is_new | _updates(keys, is_newer))
+        .where(F.col(_MINE).isNull() | F.col(_ROW).isNull() | (F.col(_RANK) == 1))
+        .withColumn(_UPDATE, F.col(_MINE).isNull() | _updates(keys, is_newer))
     )
-    kinds = {f.name: f.dataType for f in target.schema.fields}
-    merged = []
-    for name, our, their in _evolved(target, source):
-        if their is None:
-            merged.append(column(our))
-            continue
-        old = column(our) if our else F.lit(None)
-        new = F.col(_ROW).getField(their)
-        new = new.cast(kinds[our]) if our else new
-        new = F.coalesce(new, old) if fill_nulls else new
-        merged.append(F.when(F.col(_UPDATE), new).otherwise(old).alias(name))
-    return joined.select(*merged)
 
 
 def merge_newer(
@@ -200,8 +228,9 @@ def merge_newer(
     """Update matched rows whose source is newer, insert unmatched source rows.
 
     A null incremental key on either side updates nothing.  Null keys match
-    nothing.  With ``evolve``, new source columns are added and columns the
-    source lacks keep their value, null for inserted rows.  Several source rows
+    nothing.  With ``evolve``, new source columns and inner fields are added, types
+    are widened, and what the source lacks keeps its value, null for inserted rows;
+    see :mod:`sluicework.operators.evolve`.  Several source rows
     for one updated row raise; ``unique_source`` promises there are none and
     saves what it takes to find out.  ``split_above`` is for targets with many rows
     of one key: above that size they are joined in two passes, heavy keys split.
@@ -255,16 +284,100 @@ def merge_insert(
     split_above: int | None = None,
 ) -> DataFrame:
     """Insert unmatched source rows, leave matched rows alone."""
-    _check_evolution(target, source, evolve)
-    kinds = {f.name: f.dataType for f in source.schema.fields}
-    kept = target.select(
-        *[
-            (column(ours) if ours else F.lit(None).cast(kinds[theirs])).alias(name)
-            for name, ours, theirs in _evolved(target, source)
-        ]
-    )
+    fields = _evolved(target, source, evolve)
+    target = _widened(target, fields)
+    kept = target.select(*[f.stored().alias(f.name) for f in fields])
     new = _new_rows(target, source, key_list(keys), split_above)
-    return kept.unionByName(_insertable(target, new))
+    return kept.unionByName(_insertable(fields, new))
+
+
+def merge_with_changes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: str | Sequence[str],
+    incremental_key: str | None = None,
+    insert_only: bool = False,
+    unique_source: bool = False,
+    fill_nulls: bool = False,
+) -> DataFrame:
+    """State after a merge and the rows it changed, from one pass over either side.
+
+    Rows carry ``_output``: ``state`` rows are those of :func:`merge_newer`, of
+    :func:`merge_always` without an incremental key, or of :func:`merge_insert`;
+    ``changes`` rows have a ``_change_type`` and equal the :func:`change_feed` of the two
+    states.  An update that leaves a row as it was is no change.  A small source is
+    broadcast and its inserts are found by a second look at the keys alone.
+    """
+    keys = key_list(keys)
+    fields = _evolved(target, source, True)
+    target = _widened(target, fields)
+    if insert_only:
+        newest, is_newer = F.lit(0), lambda row: F.lit(False)
+    elif incremental_key is None:
+        newest, is_newer = F.lit(0), lambda row: F.lit(True)
+    else:
+        newest = column(incremental_key)
+        is_newer = lambda row: row.getField(incremental_key) > column(incremental_key)
+    before = F.struct(*[f.stored().alias(f.name) for f in fields])
+    if is_broadcastable(source) and not insert_only:
+        packed = source.where(~any_null(keys)).select(
+            *map(column, keys), F.struct(*map(column, source.columns)).alias(_ROW)
+        )
+        packed = packed.groupBy(*map(column, keys)).agg(
+            (F.max_by(_ROW, F.col(_ROW).getField(incremental_key)) if incremental_key else F.any_value(_ROW)).alias(_ROW),
+            F.count(F.lit(1)).alias(_COUNT),
+        )
+        joined = lookup_join(target, packed, keys, "left").withColumn(_UPDATE, _updates(keys, is_newer))
+        inserts = _insertable(fields, _new_rows(target, source, keys, None))
+        row = F.struct(*[column(f.name) for f in fields])
+        both = inserts.select(F.array(_output(STATE, None, row), _output(CHANGES, INSERT, row)).alias(_ROW))
+        is_new = F.lit(False)
+    else:
+        joined = _joined_in_one_pass(target, source, keys, newest, is_newer, unique_source)
+        both, is_new = None, F.col(_MINE).isNull()
+    after = F.struct(*_updated(fields, fill_nulls))
+    staged = joined.select(before.alias("__before"), after.alias("__after"), is_new.alias("__new"), _UPDATE)
+    is_changed = F.col(_UPDATE) & ~_equal(F.col("__before"), F.col("__after"), [f.kind for f in fields], [f.name for f in fields])
+    outputs = (
+        F.when(
+            F.col("__new"),
+            F.array(_output(STATE, None, F.col("__after")), _output(CHANGES, INSERT, F.col("__after"))),
+        )
+        .when(
+            is_changed,
+            F.array(
+                _output(STATE, None, F.col("__after")),
+                _output(CHANGES, PREIMAGE, F.col("__before")),
+                _output(CHANGES, POSTIMAGE, F.col("__after")),
+            ),
+        )
+        .otherwise(F.array(_output(STATE, None, F.col("__after"))))
+    )
+    found = staged.select(outputs.alias(_ROW))
+    found = found.unionAll(both) if both is not None else found
+    out = found.select(F.explode(_ROW).alias(_ROW))
+    return out.select(
+        *[F.col(_ROW)["row"].getField(f.name).alias(f.name) for f in fields],
+        F.col(_ROW)["change"].alias(CHANGE_TYPE),
+        F.col(_ROW)["output"].alias(OUTPUT),
+    )
+
+
+def _output(output: str, change: str | None, row: Column) -> Column:
+    return F.struct(
+        F.lit(output).alias("output"), F.lit(change).cast("string").alias("change"), row.alias("row")
+    )
+
+
+def _equal(a: Column, b: Column, kinds: Sequence[DataType], names: Sequence[str]) -> Column:
+    """Whether structs agree in all fields; maps, which do not compare, by their entries in order."""
+    same = F.lit(True)
+    for name, kind in zip(names, kinds):
+        x, y = a.getField(name), b.getField(name)
+        if not is_orderable(kind):
+            x, y = F.to_json(F.struct(x)), F.to_json(F.struct(y))
+        same = same & x.eqNullSafe(y)
+    return same
 
 
 def change_feed(
@@ -277,20 +390,41 @@ def change_feed(
 
     Rows are netted by their whole content, which drops everything unchanged by
     partial aggregation and never pairs rows of a key.  What is left counts as an
-    update where a key occurs on both sides, else as insert or delete.  Columns
-    that are new in ``after`` were null before.  With ``split_above``, changed rows
+    update where a key occurs on both sides, else as insert or delete.  Columns and
+    inner fields that are new in ``after`` were null before, by name.  With ``split_above``, changed rows
     of heavy keys are split above that size, at the price of netting them twice.
     """
     keys = key_list(keys)
     names = after.columns
-    known = {c.lower() for c in before.columns}
-    earlier = [
-        column(f.name) if f.name.lower() in known else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in after.schema.fields
-    ]
+    known = {f.name.lower(): f for f in before.schema.fields}
+    earlier = []
+    for f in after.schema.fields:
+        old = known.get(f.name.lower())
+        value = conformed(column(old.name), old.dataType, f.dataType) if old else F.lit(None).cast(f.dataType)
+        earlier.append(value.alias(f.name))
     signed = before.select(*earlier, F.lit(-1).alias(_NET)).unionAll(
         after.select(*map(column, names), F.lit(1).alias(_NET))
     )
+    return _netted(signed, keys, names, split_above)
+
+
+def net_changes(changes: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Changes of several loads in a row as the changes between their ends.
+
+    ``changes`` holds the rows of all these loads with ``_change_type``.  What one load
+    made and a later one took away is the same row twice and is netted: updates of a
+    key leave its first pre-image and its last post-image, an insert and a delete leave
+    nothing.  No order of loads and no pairing of rows is needed, so keys that several
+    rows share and null keys come out right as well.
+    """
+    keys = key_list(keys)
+    names = [c for c in changes.columns if c != CHANGE_TYPE]
+    is_gone = F.col(CHANGE_TYPE).isin(PREIMAGE, DELETE)
+    signed = changes.select(*map(column, names), F.when(is_gone, -1).otherwise(1).alias(_NET))
+    return _netted(signed, keys, names, None)
+
+
+def _netted(signed: DataFrame, keys: list[str], names: list[str], split_above: int | None) -> DataFrame:
     changed = (
         signed.groupBy(*map(column, names)).agg(F.sum(_NET).alias(_NET)).where(f"{_NET} != 0")
     )

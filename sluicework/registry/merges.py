@@ -16,6 +16,7 @@ from sluicework.operators.merge import (
     merge_always,
     merge_insert,
     merge_newer,
+    merge_with_changes,
 )
 from sluicework.registry.common import Query, table
 
@@ -206,6 +207,66 @@ SELECT n.id, n.changed_at, n.status, NULL, upper(n.status) FROM ({NEW_ROWS}) n
 """
 
 
+def evolving_inside(spark, sf_dir):
+    """Structs, alone and in arrays, that get a field, another order and a wider number."""
+    orders = table(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    part = F.struct(F.col("o_orderstatus").alias("code"), F.col("o_custkey").cast("int").alias("n"))
+    stored = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderdate").alias("changed_at"),
+        F.struct(
+            F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), F.col("o_custkey").cast("int").alias("size")
+        ).alias("detail"),
+        F.array(part).alias("parts"),
+    )
+    wide = F.col("o_custkey") * 10_000_000_000
+    part = F.struct(wide.alias("n"), F.lower("o_orderpriority").alias("unit"), F.col("o_orderpriority").alias("code"))
+    batch = orders.select(
+        F.struct(wide.alias("size"), F.lower("o_orderpriority").alias("channel"), (F.col("o_totalprice") + 1).alias("price")).alias("detail"),
+        F.array(part, part).alias("parts"),
+        F.when(F.col("o_orderstatus") == "F", -F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey")).alias("id"),
+        F.when(urgent, F.col("o_orderdate") + F.expr("INTERVAL '30' DAY")).otherwise(F.col("o_orderdate")).alias("changed_at"),
+    )
+    return merge_newer(stored, batch, "id", "changed_at").select("id", "changed_at", "detail.*", F.size("parts").alias("parts"), F.inline("parts").alias("code", "n", "unit"))
+
+
+EVOLVING_INSIDE = """
+WITH meets AS (
+  SELECT *, o_orderstatus <> 'F' AND o_orderpriority = '1-URGENT' AS updates FROM orders),
+state AS (
+  SELECT o_orderkey AS id, CASE WHEN updates THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate END AS changed_at, o_orderstatus AS status,
+    CASE WHEN updates THEN o_totalprice + 1 ELSE o_totalprice END AS price, CASE WHEN updates THEN o_custkey * 10000000000 ELSE o_custkey END AS size,
+    CASE WHEN updates THEN lower(o_orderpriority) END AS channel, CASE WHEN updates THEN 2 ELSE 1 END AS parts,
+    CASE WHEN updates THEN o_orderpriority ELSE o_orderstatus END AS code, CASE WHEN updates THEN o_custkey * 10000000000 ELSE o_custkey END AS n,
+    CASE WHEN updates THEN lower(o_orderpriority) END AS unit FROM meets
+  UNION ALL
+  SELECT -o_orderkey - 1, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate END, NULL,
+    o_totalprice + 1, o_custkey * 10000000000, lower(o_orderpriority), 2, o_orderpriority, o_custkey * 10000000000, lower(o_orderpriority)
+  FROM orders WHERE o_orderstatus = 'F')
+SELECT id, changed_at, status, price, size::BIGINT AS size, channel, parts::INTEGER AS parts, code, n::BIGINT AS n, unit
+FROM (SELECT *, unnest(range(parts)) FROM state)
+"""
+
+
+def merged_with_changes(spark, sf_dir):
+    """State and changed rows of one merge."""
+    stored, batch = _stored_orders(spark, sf_dir), _order_batch(spark, sf_dir)
+    return merge_with_changes(stored, batch, "id", "changed_at")
+
+
+MERGED_WITH_CHANGES = f"""
+WITH after_merge AS ({NEWER_WINS}), updated AS (
+  {MERGE_INPUTS}
+  SELECT s.id, s.changed_at, s.status, s.price, b.changed_at AS new_at, b.status AS new_status, b.price AS new_price
+  FROM stored s JOIN batch b ON s.id = b.id AND b.changed_at > s.changed_at)
+SELECT *, NULL AS _change_type, 'state' AS _output FROM after_merge
+UNION ALL SELECT id, changed_at, status, price, 'update_preimage', 'changes' FROM updated
+UNION ALL SELECT id, new_at, new_status, new_price, 'update_postimage', 'changes' FROM updated
+UNION ALL SELECT n.*, 'insert', 'changes' FROM ({MERGE_INPUTS} {NEW_ROWS}) n
+"""
+
+
 def shared_keys(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     return duplicate_keys(lines, ["l_orderkey", "l_linenumber"]).withColumnRenamed("count", "n")
@@ -257,6 +318,8 @@ QUERIES = {
     "merge_always": Query(batch_wins, BATCH_WINS),
     "merge_insert": Query(insert_only, INSERT_ONLY),
     "merge_evolve": Query(evolving, EVOLVING),
+    "merge_evolve_nested": Query(evolving_inside, EVOLVING_INSIDE),
+    "merge_with_changes": Query(merged_with_changes, MERGED_WITH_CHANGES),
     "duplicate_keys": Query(shared_keys, SHARED_KEYS),
     "change_feed": Query(snapshot_changes, SNAPSHOT_CHANGES),
 }

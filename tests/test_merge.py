@@ -101,7 +101,7 @@ def test_ambiguous_source_raises_only_for_updates(spark, target):
 def test_evolution(spark, target):
     batch = spark.createDataFrame([(1, 9, 1.5), (7, 9, 2.5)], "id BIGINT, INC INT, extra DOUBLE")
     merged = merge_newer(target, batch, "id", "inc")
-    assert merged.columns == ["id", "inc", "v", "extra"] and dict(merged.dtypes)["id"] == "int"
+    assert merged.columns == ["id", "inc", "v", "extra"] and dict(merged.dtypes)["id"] == "bigint"
     found = {r["id"]: tuple(r) for r in merged.collect()}
     assert found[1] == (1, 9, "t", 1.5) and found[7] == (7, 9, None, 2.5) and found[2] == (2, 5, "t", None)
     assert rows(merge_insert(target, batch, "id").where("id = 7")) == [(7, 9, None, 2.5)]
