@@ -34,6 +34,25 @@ def test_cache_that_overflows(monkeypatch):
         assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == ids(text)
 
 
+def test_words_over_segments(monkeypatch):
+    """Segments end between words, and words longer than a segment stay whole."""
+    monkeypatch.setattr("sluicework.llm.tokens.SEGMENT_BYTES", 16)
+    texts = ["a b " * 20, "z" * 90 + " y", "", None, "é" * 50, "Straße, nicht! " * 9, " \t\n", "'s don't x's <|endoftext|> 12 3a"]
+    for tokenizer in (WordTokenizer(PATH), WordTokenizer(PATH)):
+        for _ in range(2):
+            assert [np.frombuffer(b, "<u4").tolist() for b in tokenizer.encode(texts)] == [ids(t or "") for t in texts]
+
+
+def test_words_whose_hashes_meet(monkeypatch):
+    """A word whose first hash is another's is told apart by the second."""
+    monkeypatch.setattr("sluicework.llm.tokens.mixed", lambda x: x % np.uint64(97))
+    monkeypatch.setattr("sluicework.llm.tokens._VALUES", np.stack([np.ones(256, np.uint64), np.arange(256, dtype=np.uint64)]))
+    monkeypatch.setattr("sluicework.llm.tokens._POWERS", np.stack([np.ones(40, np.uint64), 3 ** np.arange(40, dtype=np.uint64)]))
+    own = WordTokenizer(PATH)
+    for text in ("ab", "cd ab", "ef", "cd ef ab"):
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids(text)
+
+
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_visits_every_cell_by_single_steps(dimensions, bits):
     cells = np.array(list(itertools.product(range(1 << bits), repeat=dimensions)))
