@@ -13,8 +13,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +26,13 @@ from sluicework.sources.scratch import written_out
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 
-#: Between the ends of sentences a text is cut after the word of the least hash among
-#: every so many words that hold no end: a cut depends on the words beside it alone, no
-#: piece has more words, and pieces differ in so many words at most at a passage's bounds.
+#: A sentence of up to 23 words is whole. From so many words after the end of a sentence to
+#: so many before the next, a text is also cut after the word of the least hash among every
+#: CUT_WINDOW words: a cut depends on the words beside it alone, so the same long run of
+#: words without an end is cut alike in all documents, but for some words at its bounds.
+#: The start of a text is no end: a passage there is cut as it is elsewhere.
+WHOLE_WORDS = 20
+LAST_WORDS = 4
 CUT_WINDOW = 6
 
 #: Full-width marks end a sentence without white space after them.
@@ -73,17 +77,18 @@ def _cuts(text: str, hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     closed = _at(_STOPS, text, ends)
     closed[-1] = True
-    windows = count - CUT_WINDOW + 1
-    if windows > 0:
-        value = np.where(closed, np.uint64(0), mixed(hashes) | np.uint64(1))
-        least = value[:windows].copy()
-        for k in range(1, CUT_WINDOW):
-            np.minimum(least, value[k : k + windows], out=least)
+    number = np.arange(count)
+    stops = np.flatnonzero(closed)
+    following = np.searchsorted(stops, number)
+    before = np.where(following > 0, stops[following - 1], -count - WHOLE_WORDS)
+    inner = np.flatnonzero((number - before >= WHOLE_WORDS) & (stops[following] - number >= LAST_WORDS))
+    if len(inner) and count >= CUT_WINDOW:
         # Least of a window is what is not above the largest of its windows' least values.
-        bound = np.zeros(count, np.uint64)
-        for k in range(CUT_WINDOW):
-            np.maximum(bound[k : k + windows], least, out=bound[k : k + windows])
-        closed |= value <= bound
+        value = mixed(hashes)
+        windows = np.lib.stride_tricks.sliding_window_view(value, CUT_WINDOW).min(1)
+        padded = np.concatenate([np.zeros(CUT_WINDOW - 1, np.uint64), windows, np.zeros(CUT_WINDOW - 1, np.uint64)])
+        bound = np.lib.stride_tricks.sliding_window_view(padded, CUT_WINDOW).max(1)
+        closed[inner[value[inner] <= bound[inner]]] = True
     # Line breaks end pieces too but move no other cut: a text wrapped in another way keeps those.
     closed |= _at(_BREAKS, text, ends)
     return np.flatnonzero(closed) + 1
@@ -105,8 +110,8 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.cumprod(values, dtype=np.uint64)
 
 
-def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each run its hash, first sentence and number of sentences."""
+def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each run its hash, first sentence, number of sentences, and where it starts and ends in the text."""
     hashes, ends = _words(text or "")
     before = np.concatenate([[0], _cuts(text or "", hashes, ends)])
     count = len(before) - 1
@@ -123,41 +128,53 @@ def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_STEP, len(hashes)), dtype=np.uint64)])
     start, stop = before[first], before[end]
     run = (total[stop] - total[start]) * _powers(_STEP_INVERSE, len(hashes) + 1)[start]
-    return mixed(run + (stop - start).astype(np.uint64)).view(np.int64), first, end - first
+    places = np.concatenate([[0], ends])
+    return mixed(run + (stop - start).astype(np.uint64)).view(np.int64), first, end - first, places[start] * (start > 0), places[stop]
 
 
 def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs with the bounds of their sentences in the text: sentence and character in one number."""
     for batch in batches:
         found = [runs(text) for text in batch.column("text").to_pylist()]
         rows = np.repeat(np.arange(batch.num_rows), [len(f[0]) for f in found])
         if len(rows):
-            hashes, first, length = (np.concatenate(part) for part in zip(*found, strict=True))
+            hashes, first, length, start, end = (np.concatenate(part) for part in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hashes),
                     batch.column("doc_id").take(pa.array(rows)),
                     batch.column("text_hash").take(pa.array(rows)),
-                    pa.array(first, pa.int32()),
-                    pa.array(length, pa.int32()),
+                    pa.array((first << _BITS) | start),
+                    pa.array((first + length << _BITS) | end),
                 ],
-                ["run", "doc_id", "text_hash", "first", "length"],
+                ["run", "doc_id", "text_hash", "first", "last"],
             )
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    kept, removed = [], []
-    for text, covered in zip(texts, spans, strict=True):
-        if text is None or covered is None:
-            kept.append(text)
-            removed.append(0)
-            continue
-        pieces = sentences(text)
-        gone = np.zeros(len(pieces), bool)
-        for span in covered:
-            gone[span["first"] : span["first"] + span["length"]] = True
-        kept.append("".join(p for p, g in zip(pieces, gone, strict=True) if not g))
-        removed.append(int(gone.sum()))
-    return pd.DataFrame({"text": pd.Series(kept, dtype=object), "removed": removed})
+#: Bits of the character in a bound.
+_BITS = 32
+
+
+def _covered(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the union of spans."""
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(last[order])
+    opens = np.concatenate([[True], first[1:] > reach[:-1]])
+    return first[opens], reach[np.append(np.flatnonzero(opens)[1:] - 1, len(reach) - 1)]
+
+
+def _without(texts: pa.Array, firsts: pa.Array, lasts: pa.Array) -> pa.Array:
+    """Texts without the spans, and the number of sentences in these. Only texts with spans are opened."""
+    has = np.asarray(firsts.is_valid().to_numpy(zero_copy_only=False), bool)
+    kept, removed = [], np.zeros(len(texts), np.int32)
+    for i in np.flatnonzero(has).tolist():
+        text = texts[i].as_py()
+        first, last = _covered(np.asarray(firsts[i].values), np.asarray(lasts[i].values))
+        removed[i] = ((last >> _BITS) - (first >> _BITS)).sum()
+        start, end = (first & ((1 << _BITS) - 1)).tolist(), (last & ((1 << _BITS) - 1)).tolist()
+        kept.append("".join(text[a:b] for a, b in zip([0, *end], [*start, len(text)], strict=True)))
+    texts = pc.replace_with_mask(texts, pa.array(has), pa.array(kept, texts.type))
+    return pa.StructArray.from_arrays([texts, pa.array(removed)], ["text", "removed"])
 
 
 def remove_repeated_spans(documents: DataFrame) -> DataFrame:
@@ -174,16 +191,16 @@ def remove_repeated_spans(documents: DataFrame) -> DataFrame:
     """
     # Names that no column of the input clashes with.
     taken = {c.lower() for c in documents.columns}
-    key_id, key_hash, spans, result = (
+    key_id, key_hash, firsts, lasts, result = (
         next(n for n in (f"{name}{'_' * i}" for i in range(len(taken) + 1)) if n not in taken)
-        for name in ("key_id", "key_hash", "spans", "result")
+        for name in ("key_id", "key_hash", "firsts", "lasts", "result")
     )
     keyed = documents.withColumn(key_id, F.col("doc_id").cast("long")).withColumn(key_hash, F.xxhash64("text"))
     texts = keyed.select(F.col(key_id).alias("doc_id"), F.col(key_hash).alias("text_hash"), F.col("text").cast("string").alias("text"))
-    found = map_arrow(
-        texts.filter("text IS NOT NULL"), _all_runs, "run long, doc_id long, text_hash long, first int, length int"
+    # Written once, as both sides of the joins are: Spark can then split a run that very many documents hold.
+    found = written_out(
+        map_arrow(texts.filter("text IS NOT NULL"), _all_runs, "run long, doc_id long, text_hash long, first long, last long")
     )
-    # Written tables on both sides let Spark split a run that very many documents hold.
     repeated = written_out(found.groupBy("run").count().filter("count > 1").select("run"))
     places = written_out(found.join(repeated, "run"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "first")
@@ -192,12 +209,12 @@ def remove_repeated_spans(documents: DataFrame) -> DataFrame:
         places.join(first, "run")
         .filter(place != F.col("first_place"))
         .groupBy(F.col("doc_id").alias(key_id), F.col("text_hash").alias(key_hash))
-        .agg(F.collect_set(F.struct("first", "length")).alias(spans))
+        .agg(F.collect_list("first").alias(firsts), F.collect_list("last").alias(lasts))
     )
     same = keyed[key_id].eqNullSafe(later[key_id]) & (keyed[key_hash] == later[key_hash])
-    without = F.pandas_udf(_without, "text string, removed int")
-    joined = keyed.join(later, same, "left").select(*(keyed[c] for c in documents.columns), later[spans])
-    return joined.withColumn(result, without("text", spans)).select(
+    without = F.arrow_udf(_without, "text string, removed int")
+    joined = keyed.join(later, same, "left").select(*(keyed[c] for c in documents.columns), later[firsts], later[lasts])
+    return joined.withColumn(result, without(F.col("text").cast("string"), firsts, lasts)).select(
         *(F.col(f"{result}.text").alias("text") if c.lower() == "text" else c for c in documents.columns if c.lower() != "removed_sentences"),
         F.col(f"{result}.removed").alias("removed_sentences"),
     )

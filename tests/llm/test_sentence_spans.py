@@ -1,9 +1,11 @@
 import random
+import re
 
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sluicework.llm.sentence_spans import CUT_WINDOW, MIN_SENTENCES, MIN_WORDS, remove_repeated_spans, runs, sentences
+from sluicework.llm.sentence_spans import CUT_WINDOW, LAST_WORDS, MIN_SENTENCES, MIN_WORDS, WHOLE_WORDS, remove_repeated_spans, runs, sentences
 from tests.llm.helpers import DOCUMENT, documents
 
 
@@ -19,25 +21,60 @@ def test_sentences_make_up_texts_without_spaces(text):
     assert "".join(sentences(text)) == text
 
 
+def plain_sentences(text):
+    """The rule in plain words, for text with spaces: a sentence ends behind . ! or ?, marks that
+    close, and white space, and at a line break. A word with no such stop in the WHOLE_WORDS
+    words up to it and the LAST_WORDS from it on ends one too if its hash is the least of some CUT_WINDOW words in a row."""
+    words = re.findall(r"\S+\s*", text)
+    if not words:
+        return [text] if text else []
+    words[0] = text[: len(text) - sum(map(len, words))] + words[0]
+
+    def value(word):
+        x, top = xxhash.xxh3_64_intdigest(word.strip().lower()), (1 << 64) - 1
+        for _ in range(2):
+            x = ((x ^ (x >> 29)) * 0x9E3779B97F4A7C15) & top
+        return x ^ (x >> 29)
+
+    values = [value(w) for w in words]
+    stops = [bool(re.search(r"[.!?]+[\"'”’)\]]*\s+$", w)) or w is words[-1] for w in words]
+    pieces, piece = [], ""
+    for i, word in enumerate(words):
+        piece += word
+        apart = not any(stops[max(0, i - WHOLE_WORDS + 1) : i + LAST_WORDS])
+        windows = [values[k : k + CUT_WINDOW] for k in range(max(0, i - CUT_WINDOW + 1), i + 1) if k + CUT_WINDOW <= len(words)]
+        if stops[i] or "\n" in word.lstrip() or apart and any(values[i] == min(w) for w in windows):
+            pieces.append(piece)
+            piece = ""
+    return pieces
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "c", "dd.", "e!)", "f\n", "g", "hi", "j", "kl", "m", "no", "p", "q", "rs", "t"]), max_size=120))
+def test_sentences_by_the_rule_in_plain_words(words):
+    text = " ".join(f"{w}{i % 7}" if w.isalpha() else w for i, w in enumerate(words))
+    assert sentences(text) == plain_sentences(text)
+
+
 def plain(rows):
-    """The same by looking at every run as a tuple of words."""
+    """The same by looking at every run of any length as a tuple of words."""
     places, held = {}, []
     for doc_id, text in rows:
-        pieces = [p.lower().split() for p in sentences(text or "")]
-        own = []
-        for at in range(len(pieces)):
-            end = next(
-                (e for e in range(at + MIN_SENTENCES, len(pieces) + 1) if sum(map(len, pieces[at:e])) >= MIN_WORDS), None
-            )
-            if end:
-                own.append((tuple(map(tuple, pieces[at:end])), at, end))
+        pieces = [p.lower().split() for p in plain_sentences(text or "")]
+        own = [
+            (tuple(map(tuple, pieces[at:end])), at, end)
+            for at in range(len(pieces))
+            for end in range(at + MIN_SENTENCES, len(pieces) + 1)
+            if sum(map(len, pieces[at:end])) >= MIN_WORDS
+        ]
         held.append(own)
         for run, at, _ in own:
             places[run] = min(places.get(run, (doc_id, at)), (doc_id, at))
     result = {}
     for (doc_id, text), own in zip(rows, held, strict=True):
         gone = {k for run, at, end in own if places[run] != (doc_id, at) for k in range(at, end)}
-        result[doc_id] = ("".join(p for k, p in enumerate(sentences(text)) if k not in gone) if text is not None else None, len(gone))
+        kept = None if text is None else "".join(p for k, p in enumerate(plain_sentences(text)) if k not in gone)
+        result[doc_id] = kept, len(gone)
     return result
 
 
@@ -111,31 +148,18 @@ def test_passage_without_punctuation_goes_up_to_its_ends(spark):
 
 def test_cut_does_not_depend_on_the_length_of_the_sentence():
     rng = random.Random(5)
-    words = [f"v{rng.randrange(10**6)}" for _ in range(30)]
+    words = [f"v{rng.randrange(10**6)}" for _ in range(50)]
     short, long = sentences(" ".join(words)), sentences(" ".join(["a b c d"] * 20 + words))
     assert short[1:] == long[-len(short) + 1 :] and len(short) >= 5
-    assert max(len(p.split()) for p in long) <= CUT_WINDOW
+    # Only the words before the end are left together.
+    assert max(len(p.split()) for p in long[:-1]) <= CUT_WINDOW and len(long[-1].split()) < LAST_WORDS + CUT_WINDOW
 
 
-def all_runs(rows):
-    """The same by looking at every run of any length."""
-    places, held = {}, []
-    for doc_id, text in rows:
-        pieces = [p.lower().split() for p in sentences(text)]
-        own = [
-            (tuple(map(tuple, pieces[at:end])), at, end)
-            for at in range(len(pieces))
-            for end in range(at + MIN_SENTENCES, len(pieces) + 1)
-            if sum(map(len, pieces[at:end])) >= MIN_WORDS
-        ]
-        held.append(own)
-        for run, at, _ in own:
-            places[run] = min(places.get(run, (doc_id, at)), (doc_id, at))
-    result = {}
-    for (doc_id, text), own in zip(rows, held, strict=True):
-        gone = {k for run, at, end in own if places[run] != (doc_id, at) for k in range(at, end)}
-        result[doc_id] = ("".join(p for k, p in enumerate(sentences(text)) if k not in gone), len(gone))
-    return result
+def test_sentences_of_ordinary_length_are_whole():
+    rng = random.Random(9)
+    # The start of a text is no end of a sentence.
+    made = ["Start. "] + [" ".join(f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(1, WHOLE_WORDS + LAST_WORDS))) + ". " for _ in range(200)]
+    assert sentences("".join(made)) == made
 
 
 def test_equals_all_runs_where_passages_end_in_short_sentences(spark):
@@ -147,7 +171,7 @@ def test_equals_all_runs_where_passages_end_in_short_sentences(spark):
     passages = [prose(30, 8, 8, 3), prose(5, 6, 4, 6, 3, 2, 1), prose(6, 6, 6, 6, 2, 2)]
     rows = [(i, f"{prose(5, 4)} {passages[i % 3]} {prose(6, 3)} {rng.choice(passages)}") for i in range(12)]
     found = {r.doc_id: (r.text, r.removed_sentences) for r in remove_repeated_spans(documents(spark, rows)).collect()}
-    assert found == all_runs(rows)
+    assert found == plain(rows)
     for i in range(3, 12):
         assert not set(passages[i % 3].split()[-3:]) & set(found[i][0].split())
 
