@@ -16,14 +16,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.llm import shards as shard_module
+from sluicework.llm.shards import beside_shards
 from sluicework.llm.tasks import map_arrow
 from sluicework.sources.scratch import written_out
 
+#: Rows of a shard and of a block of queries, and bytes of their vectors: whichever ends first.
 SHARD_ROWS = 16_384
+SHARD_BYTES = 16 << 20
 QUERY_ROWS = 1_024
+QUERY_BYTES = 1 << 20
 
-#: Lists that a step of the merge puts together.
-MERGE_FAN = 8
+_NUMBER_BYTES = 8
 
 
 @dataclass(frozen=True)
@@ -43,7 +47,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _packed(rows: int):
+def _packed(most_rows: int, most_bytes: int):
     def block(dim: int, parts: list) -> pa.RecordBatch:
         ids, data = (np.concatenate(p) for p in zip(*parts, strict=True))
         return pa.RecordBatch.from_arrays(
@@ -59,6 +63,7 @@ def _packed(rows: int):
             ids, start = np.asarray(batch.column("vec_id")), np.cumsum(sizes) - sizes
             for dim in np.unique(sizes):
                 of_dim = np.flatnonzero(sizes == dim)
+                rows = max(1, min(most_rows, most_bytes // (_NUMBER_BYTES * int(dim))))
                 for at in range(0, len(of_dim), rows):
                     chosen = of_dim[at : at + rows]
                     parts = waiting.setdefault(int(dim), [])
@@ -71,10 +76,11 @@ def _packed(rows: int):
     return run
 
 
-def blocks(rows: DataFrame, size: int) -> DataFrame:
+def blocks(rows: DataFrame, size: int, most_bytes: int) -> DataFrame:
     """``vec_id`` and ``vector`` rows dealt evenly into numbered blocks of one dimension."""
-    count = max(1, math.ceil(rows.count() / size))
-    packed = map_arrow(rows.repartition(count), _packed(size), "dim int, ids binary, data binary")
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector").cast("long")).alias("numbers")).first()
+    count = max(1, math.ceil(found["rows"] / size), math.ceil((found["numbers"] or 0) * _NUMBER_BYTES / most_bytes))
+    packed = map_arrow(rows.repartition(count), _packed(size, most_bytes), "dim int, ids binary, data binary")
     return written_out(packed.withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -95,17 +101,10 @@ def against_shards(
     and its best ids and scores. Returns ``query_id``, ``shard`` and ``best``, an array of
     (``order``: the score with the sign turned, ``vec_id``) in ascending order.
     """
-    shards = blocks(vectors, SHARD_ROWS)
-    numbers = [row[0] for row in shards.select("block").orderBy("block").collect()]  # one for SHARD_ROWS rows
-    queries = blocks(vectors.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")), QUERY_ROWS)
-    places = F.array(*map(F.lit, numbers)) if numbers else F.array().cast("array<bigint>")
-    sent = queries.withColumn("shard", F.explode(places)).withColumn("part", F.col("block") + 1)
-    both = (
-        shards.select(F.col("block").alias("shard"), F.lit(0).cast("long").alias("part"), "dim", "ids", "data")
-        .unionByName(sent.select("shard", "part", "dim", "ids", "data"))
-        .repartition(max(1, len(numbers)), "shard")
-        .sortWithinPartitions("shard", "part")
-    )
+    shards = blocks(vectors, SHARD_ROWS, SHARD_BYTES)
+    asked = vectors.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    both, count = beside_shards(shards, blocks(asked, QUERY_ROWS, QUERY_BYTES))
+    both = both.select("shard", "part", "dim", "ids", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, dim, prepared = None, None, None
@@ -134,9 +133,7 @@ def against_shards(
                     )
 
     schema = f"query_id long, shard long, best array<struct<order:{score_type},vec_id:bigint>>"
-    found = map_arrow(both, run, schema)
-    number = F.array_position(places, F.col("shard")) - 1
-    return found.withColumn("shard", number), len(numbers)
+    return map_arrow(both, run, schema), count
 
 
 _ARROW = {"double": pa.float64(), "bigint": pa.int64()}
@@ -144,16 +141,7 @@ _ARROW = {"double": pa.float64(), "bigint": pa.int64()}
 
 def merged(lists: DataFrame, shards: int, k: int) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the k best, merged up a tree of shards."""
-    while True:
-        lists = (
-            lists.withColumn("shard", F.floor(F.col("shard") / MERGE_FAN))
-            .groupBy("query_id", "shard")
-            .agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
-        )
-        shards = math.ceil(shards / MERGE_FAN)
-        if shards <= 1:
-            break
-    return lists.select("query_id", F.posexplode("best").alias("at", "found")).select(
+    return shard_module.merged(lists, ["query_id"], shards, k).select("query_id", F.posexplode("best").alias("at", "found")).select(
         "query_id",
         (F.col("at") + 1).alias("rank"),
         F.col("found.vec_id").alias("vec_id"),
