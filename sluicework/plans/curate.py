@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluicework.operators.assemble import assemble
 from sluicework.operators.dedup import latest_per_key
+from sluicework.operators.layout import table_metrics
 from sluicework.operators.mapping import (
     FieldRule,
     apply_mapping,
@@ -32,6 +33,7 @@ from sluicework.operators.schema import (
 from sluicework.sources.control import advance, read_control
 from sluicework.sources.files import read_files
 from sluicework.sources.scratch import written_out
+from sluicework.sources.tables import create_table, merge_table, read_table
 from sluicework.sources.versions import read_version, write_version
 
 UPSERT = "upsert"
@@ -245,9 +247,13 @@ def load_target(
     version: int | None,
     shuffle: bool = True,
     file_format: str = "parquet",
+    in_place: bool = False,
 ) -> dict[str, int]:
     """Write the next version of a target and return its metrics.
 
+    ``in_place`` writes only the partitions that change and keeps the changed rows, see
+    :mod:`sluicework.sources.tables`; else every version is a whole table of its own.
+
     ``version`` is the current one, None on a first load.  Without rows to load
     nothing is written and there are no metrics.  A batch to merge is written to
     the scratch folder first: the merge reads it several times, and plans its
@@ -257,6 +263,8 @@ def load_target(
     if all(source.candidates.isEmpty() for source in sources.values()):
         return {}
     state = assemble_batch(spark, sources, spec)
+    if in_place:
+        return _load_in_place(spark, state, sources, spec, version, shuffle)
     if version is not None:
         batch = written_out(state)
         if batch.isEmpty():
@@ -274,6 +282,36 @@ def load_target(
     )
 
 
+def _load_in_place(
+    spark: SparkSession,
+    state: DataFrame,
+    sources: Mapping[str, CuratedSource],
+    spec: TargetSpec,
+    version: int | None,
+    shuffle: bool,
+) -> dict[str, int]:
+    load = 0 if version is None else version + 1
+    if version is None:
+        create_table(state, spec.path, spec.partition_column, shuffle)
+    else:
+        batch = written_out(state)
+        if batch.isEmpty():
+            return {}
+        is_upsert = spec.mode == UPSERT
+        merge_table(
+            spark,
+            spec.path,
+            batch,
+            spec.unique_id,
+            spec.partition_column,
+            load,
+            spec.incremental_key if is_upsert else None,
+            insert_only=not is_upsert,
+            fill_nulls=is_upsert and len(sources) > 1,
+        )
+    return {**table_metrics(read_table(spark, spec.path)).first().asDict(), "version": load}
+
+
 def control_update(
     spark: SparkSession, name: str, started_at: str, metrics: Mapping[str, int]
 ) -> DataFrame:
@@ -294,6 +332,7 @@ def run_load(
     started_at: str,
     shuffle: bool = True,
     file_format: str = "parquet",
+    in_place: bool = False,
     **options,
 ) -> DataFrame:
     """One load of a target from its control row; returns the control rows after it.
@@ -307,7 +346,7 @@ def run_load(
     )
     version = None if details["first_load"] else details["version"]
     spec = TargetSpec.from_control(details)
-    metrics = load_target(spark, sources, spec, version, shuffle, file_format)
+    metrics = load_target(spark, sources, spec, version, shuffle, file_format, in_place)
     if not metrics:
         return curated
     return advance(curated, control_update(spark, target, started_at, metrics))

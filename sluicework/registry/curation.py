@@ -15,7 +15,7 @@ from sluicework.plans.ingest import ingest, raw_path
 from sluicework.registry.common import Query, table
 from sluicework.sources.control import NEVER_LOADED, read_control
 from sluicework.sources.scratch import scratch_dir
-from sluicework.sources.versions import read_version
+from sluicework.sources.tables import read_table
 
 ORDER_RULES = [
     FieldRule("id", "order_id", datatype="bigint"),
@@ -145,7 +145,7 @@ def curate_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = spark.sql(RAW_CONTROL, {"orders_at": orders_at, "people_at": people_at})
         control = spark.read.parquet(f"{root}/control/{step - 1}")
         advanced = run_load(
-            spark, "sales", mapping, {"raw": raw}, control, hour.isoformat(), keep_unique_id=True
+            spark, "sales", mapping, {"raw": raw}, control, hour.isoformat(), in_place=True, keep_unique_id=True
         )
         # Files of a later step are newer than any time before this run.
         watermark = F.lit(LAST_RUN).alias("last_modified")
@@ -163,7 +163,7 @@ def curate_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     load(2, changed, people.where("false"))
     loaded = read_control(spark.read.parquet(f"{root}/control/2"), "sales")
-    return read_version(spark, loaded["path"], loaded["version"])
+    return read_table(spark, loaded["path"])
 
 
 CURATE_TWICE = """
@@ -231,12 +231,12 @@ def curate_same_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest(buy, at["buy_at"], hour)
         ingest(sell, at["sell_at"], hour)
         raw = spark.sql(SAME_CONTROL, at)
-        control = run_load(spark, "parties", mapping, {"raw": raw}, control, LAST_RUN, keep_unique_id=True)
+        control = run_load(spark, "parties", mapping, {"raw": raw}, control, LAST_RUN, in_place=True, keep_unique_id=True)
         kept = f"{root}/control/{step}"
         control.coalesce(1).write.parquet(kept)
         control = spark.read.parquet(kept)
     loaded = read_control(control, "parties")
-    return read_version(spark, loaded["path"], loaded["version"])
+    return read_table(spark, loaded["path"])
 
 
 CURATE_SAME_COLLECTION = """

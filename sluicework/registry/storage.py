@@ -7,15 +7,14 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from sluicework.operators.layout import compact, cut_lineage, table_metrics
-from sluicework.operators.merge import merge_newer
-from sluicework.plans.analytics import analytics_inputs, analytics_rows
+from sluicework.plans.analytics import analytics_inputs, analytics_rows, run_analytics
 from sluicework.plans.ingest import ingest, raw_path, stage
 from sluicework.registry.common import Query, table
 from sluicework.sources import control, sinks
 from sluicework.sources.files import read_files, read_sheet, unwrap_envelope
-from sluicework.sources.scratch import scratch_dir
-from sluicework.sources.versions import version_path
-from sluicework.streaming.increments import file_stream, stream_merge, stream_staging
+from sluicework.sources.scratch import scratch_dir, written_out
+from sluicework.sources.tables import create_table, merge_table, read_load_changes, read_table
+from sluicework.streaming.increments import file_stream, stream_into_table, stream_staging
 
 INGESTED_AT = datetime(2024, 6, 20, 7, 5)
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -41,19 +40,16 @@ def unwrap(spark, sf_dir):
 
 def sheet(spark, sf_dir):
     path = scratch_dir(spark)
-    supplier = table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("s_name"), "s_nationkey"
-    )
+    supplier = table(spark, sf_dir, "supplier").withColumn("s_name", F.when(F.col("s_acctbal") > 0, F.col("s_name")))
     supplier.write.mode("overwrite").option("header", "true").csv(path)
     text = read_sheet(spark, path)
-    typed = read_sheet(spark, path, infer_types=True)
-    return text.join(typed.select(F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("nation")),
-                     F.col("s_suppkey") == F.col("key").cast("string")).drop("key")
+    typed = read_sheet(spark, path, infer_types=True).select(F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"))
+    return text.drop("s_acctbal").join(typed, F.col("s_suppkey") == F.col("key").cast("string")).drop("key")
 
 
 SHEET = """
 SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CASE WHEN s_acctbal > 0 THEN s_name END AS s_name,
-       CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_nationkey AS nation FROM supplier
+       CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_nationkey AS nation, s_acctbal AS balance FROM supplier
 """
 
 
@@ -65,14 +61,15 @@ def partitioned(spark, sf_dir):
 
 def staged(spark, sf_dir):
     source, target = scratch_dir(spark), scratch_dir(spark)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    orders.toDF("Key", "cust", "PRICE", "Status").write.mode("overwrite").parquet(source)
+    orders = table(spark, sf_dir, "orders")
+    orders.toDF("Key", "cust", "Status", "PRICE", "At", "priority").write.mode("overwrite").parquet(source)
     stage(spark, source, target, control.NEVER_LOADED, "parquet", day="2024-06-20")
-    return spark.read.schema("key BIGINT, cust BIGINT, price DOUBLE, status STRING").json(f"{target}/2024-06-20")
+    types = "key BIGINT, cust BIGINT, status STRING, price DOUBLE, at TIMESTAMP_NTZ, priority STRING"
+    return spark.read.schema(types).json(f"{target}/2024-06-20")
 
 
 STAGED = """
-SELECT o_orderkey AS key, o_custkey AS cust, o_totalprice AS price, o_orderstatus AS status FROM orders
+SELECT o_orderkey AS key, o_custkey AS cust, o_orderstatus AS status, o_totalprice AS price, o_orderdate AS at, o_orderpriority AS priority FROM orders
 """
 
 
@@ -86,21 +83,15 @@ def ingested(spark, sf_dir):
 def raw_partitions(spark, sf_dir):
     """Events partitioned by their own hour, found again as partition columns."""
     path = scratch_dir(spark)
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
-    ingest(events, path, F.col("ts"), timestampNTZFormat=MICROS)
-    return (
-        spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, " + ", ".join(f"{c} INT" for c in sinks.INGEST_COLUMNS))
-        .json(path)
-        .groupBy(*sinks.INGEST_COLUMNS)
-        .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_at"))
-    )
+    ingest(table(spark, sf_dir, "events"), path, F.col("ts"), timestampNTZFormat=MICROS)
+    types = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING, "
+    return spark.read.schema(types + ", ".join(f"{c} INT" for c in sinks.INGEST_COLUMNS)).json(path)
 
 
 RAW_PARTITIONS = """
-SELECT CAST(year(ts) AS INTEGER) AS ingest_year, CAST(month(ts) AS INTEGER) AS ingest_month,
-       CAST(day(ts) AS INTEGER) AS ingest_day, CAST(hour(ts) AS INTEGER) AS ingest_hour,
-       count(*) AS n, max(ts) AS last_at
-FROM events GROUP BY 1, 2, 3, 4
+SELECT *, CAST(year(ts) AS INTEGER) AS ingest_year, CAST(month(ts) AS INTEGER) AS ingest_month,
+       CAST(day(ts) AS INTEGER) AS ingest_day, CAST(hour(ts) AS INTEGER) AS ingest_hour
+FROM events
 """
 
 
@@ -199,19 +190,92 @@ def metrics(spark, sf_dir):
 METRICS = "SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS num_files, true AS has_bytes FROM lineitem"
 
 
-def analytics_changes(spark, sf_dir):
-    """Orders loaded twice as versions; user SQL over what the second load changed."""
-    path = scratch_dir(spark)
-    first = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    later = first.withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL '1' DAY")).withColumn(
+def _later_orders(orders, days):
+    """All orders with a newer date and twice the price; dear ones are new orders."""
+    later = orders.withColumn("o_orderdate", F.col("o_orderdate") + F.expr(f"INTERVAL '{days}' DAY")).withColumn(
         "o_totalprice", F.col("o_totalprice") * 2
     )
-    batch = later.where("o_orderstatus = 'O'").withColumn(
-        "o_orderkey", F.when(F.col("o_totalprice") > 500000, -F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey"))
+    dear = F.col("o_totalprice") > 500000
+    return later.withColumn("o_orderkey", F.when(dear, -F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey")))
+
+
+def merge_touched(spark, sf_dir):
+    """Open orders change in a table by status; files of other statuses stay as they are."""
+    path = scratch_dir(spark)
+    orders = table(spark, sf_dir, "orders")
+    create_table(orders, path, "o_orderstatus")
+    file_path = F.col("_metadata.file_path")
+
+    def files():
+        state = spark.read.parquet(f"{path}/_output=state").where("_change_type IS NULL")
+        return state.groupBy("o_orderstatus").agg(F.sort_array(F.collect_set(file_path)).alias("files"))
+
+    before = written_out(files())
+    merge_table(spark, path, _later_orders(orders.where("o_orderstatus = 'O'"), 1), "o_orderkey", "o_orderstatus", 1, "o_orderdate")
+    same = before.join(files().withColumnRenamed("files", "now"), "o_orderstatus").select(
+        "o_orderstatus", (F.col("files") == F.col("now")).alias("same_files")
     )
-    sinks.write_partitioned(first, version_path(path, 0), "o_orderstatus")
-    second = merge_newer(spark.read.parquet(version_path(path, 0)), batch, "o_orderkey", "o_orderdate")
-    sinks.write_partitioned(second, version_path(path, 1), "o_orderstatus")
+    return read_table(spark, path).join(same, "o_orderstatus")
+
+
+MERGE_TOUCHED = """
+WITH later AS (
+  SELECT *, o_totalprice * 2 > 500000 AS dear FROM orders WHERE o_orderstatus = 'O')
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true AS same_files FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN dear THEN o_totalprice ELSE o_totalprice * 2 END,
+  CASE WHEN dear THEN o_orderdate ELSE o_orderdate + INTERVAL 1 DAY END, o_orderpriority, false FROM later
+UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice * 2, o_orderdate + INTERVAL 1 DAY, o_orderpriority, false FROM later WHERE dear
+"""
+
+
+def changes_of_three_loads(spark, sf_dir):
+    """What three loads changed together: prices double twice, new orders come and change, a status moves.
+    The changes are those kept by the loads; no state is read."""
+    path = scratch_dir(spark)
+    orders = table(spark, sf_dir, "orders")
+    create_table(orders.where("o_orderstatus <> 'P'"), path, "o_orderstatus")
+    some = orders.where("o_orderpriority IN ('1-URGENT', '2-HIGH')")
+    closed = some.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "O", F.lit("C")).otherwise(F.col("o_orderstatus")))
+    for load, batch, days in ((1, orders.where("o_orderstatus = 'P'"), 0), (2, some, 1), (3, closed, 2)):
+        newer = batch.withColumn("o_orderdate", F.col("o_orderdate") + F.make_dt_interval(F.lit(days))).withColumn("o_totalprice", F.col("o_totalprice") * (days + 1))
+        merge_table(spark, path, newer, "o_orderkey", "o_orderstatus", load, "o_orderdate")
+    return read_load_changes(spark, path, "o_orderkey", 0, 3)
+
+
+CHANGES_OF_THREE_LOADS = """
+WITH ends AS (
+  SELECT *, o_orderpriority IN ('1-URGENT', '2-HIGH') AS moved FROM orders)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'update_preimage' AS _change_type
+FROM ends WHERE moved AND o_orderstatus <> 'P'
+UNION ALL
+SELECT o_orderkey, o_custkey, CASE WHEN moved AND o_orderstatus = 'O' THEN 'C' ELSE o_orderstatus END, CASE WHEN moved THEN o_totalprice * 3 ELSE o_totalprice END,
+  CASE WHEN moved THEN o_orderdate + INTERVAL 2 DAY ELSE o_orderdate END, o_orderpriority, CASE WHEN o_orderstatus = 'P' THEN 'insert' ELSE 'update_postimage' END
+FROM ends WHERE moved OR o_orderstatus = 'P'
+"""
+
+
+def upsert_and_append(spark, sf_dir):
+    """The load layer's names for its two merges: newer orders replace stored ones, then missing ones are added."""
+    orders = table(spark, sf_dir, "orders")
+    stored = orders.where("o_orderstatus <> 'P'")
+    open_ones = orders.where("o_orderstatus = 'O'").withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL '1' DAY"))
+    state = sinks.upsert(stored, open_ones, "o_orderkey", "o_orderdate")
+    return sinks.append(state, orders.withColumn("o_totalprice", -F.col("o_totalprice")), "o_orderkey")
+
+
+UPSERT_AND_APPEND = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate, o_orderpriority FROM orders
+"""
+
+
+def analytics_changes(spark, sf_dir):
+    """Orders loaded twice; user SQL over what the second load changed, as that load kept it."""
+    path = scratch_dir(spark)
+    orders = table(spark, sf_dir, "orders")
+    create_table(orders, path, "o_orderstatus")
+    batch = _later_orders(orders, 1).where("o_orderstatus = 'O'")
+    merge_table(spark, path, batch, "o_orderkey", "o_orderstatus", 1, "o_orderdate")
     rows = spark.range(1).select(
         F.lit("orders_curated").alias("name"),
         F.lit(path).alias("path"),
@@ -223,34 +287,73 @@ def analytics_changes(spark, sf_dir):
     return analytics_rows(
         spark,
         inputs,
-        "SELECT _change_type AS change, year(o_orderdate) AS y, count(*) AS n FROM orders_curated GROUP BY 1, 2",
+        "SELECT _change_type AS change, year(o_orderdate) AS y, o_orderpriority AS priority, count(*) AS n, min(o_custkey) AS least, "
+        "max(o_totalprice) AS dearest FROM orders_curated GROUP BY 1, 2, 3",
     )
 
 
 ANALYTICS_CHANGES = """
 SELECT CASE WHEN o_totalprice * 2 > 500000 THEN 'insert' ELSE 'update_postimage' END AS change,
-       CAST(year(o_orderdate + INTERVAL 1 DAY) AS INTEGER) AS y, count(*) AS n
-FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2
+       CAST(year(o_orderdate + INTERVAL 1 DAY) AS INTEGER) AS y, o_orderpriority AS priority, count(*) AS n,
+       min(o_custkey) AS least, max(o_totalprice * 2) AS dearest
+FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2, 3
+"""
+
+
+def analytics_runs(spark, sf_dir):
+    """An analytics table by its control row: a first load, one after two loads of its source, one after none."""
+    root = scratch_dir(spark)
+    orders = table(spark, sf_dir, "orders")
+    path = f"{root}/orders"
+    create_table(orders.where("o_orderstatus <> 'P'"), path, "o_orderstatus")
+    analytics = spark.createDataFrame(
+        [("by_year", "orders", f"{root}/by_year", "id", "y", "changed_at", control.NEVER_LOADED, None, None)],
+        "name STRING, sources STRING, path STRING, unique_id STRING, partition_columns STRING, incremental_key STRING, "
+        "last_modified STRING, version BIGINT, source_versions MAP<STRING, BIGINT>",
+    )
+
+    def run(rows, version):
+        curated = spark.createDataFrame([("orders", path, version, "o_orderkey")], "name STRING, path STRING, version BIGINT, unique_id STRING")
+        query = "SELECT o_orderkey AS id, o_orderdate AS changed_at, year(o_orderdate) AS y, o_custkey AS who, o_totalprice AS price FROM orders"
+        return written_out(run_analytics(spark, "by_year", rows, curated, query, f"2024-06-2{version}T00:00:00"))
+
+    analytics = run(analytics, 0)
+    for load, batch in ((1, orders.where("o_orderstatus = 'P'")), (2, _later_orders(orders.where("o_orderstatus = 'O'"), 400))):
+        merge_table(spark, path, batch, "o_orderkey", "o_orderstatus", load, "o_orderdate")
+    analytics = run(run(analytics, 2), 2)
+    seen = analytics.select("version", F.col("source_versions")["orders"].alias("source_version"), "last_modified")
+    return read_table(spark, f"{root}/by_year").join(F.broadcast(seen))
+
+
+ANALYTICS_RUNS = """
+WITH later AS (
+  SELECT *, o_totalprice * 2 > 500000 AS dear FROM orders WHERE o_orderstatus = 'O'),
+state AS (
+  SELECT o_orderkey AS id, o_orderdate AS changed_at, o_custkey AS who, o_totalprice AS price FROM orders WHERE o_orderstatus <> 'O'
+  UNION ALL SELECT o_orderkey, CASE WHEN dear THEN o_orderdate ELSE o_orderdate + INTERVAL 400 DAY END, o_custkey, CASE WHEN dear THEN o_totalprice ELSE o_totalprice * 2 END FROM later
+  UNION ALL SELECT -o_orderkey - 1, o_orderdate + INTERVAL 400 DAY, o_custkey, o_totalprice * 2 FROM later WHERE dear)
+SELECT id, changed_at, CAST(year(changed_at) AS INTEGER) AS y, who, price, CAST(1 AS BIGINT) AS version, CAST(2 AS BIGINT) AS source_version,
+  '2024-06-22T00:00:00' AS last_modified FROM state
 """
 
 
 def streamed_staging(spark, sf_dir):
     root = scratch_dir(spark)
-    types = "Supp BIGINT, NAME STRING"
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").toDF("Supp", "NAME")
+    types = "Supp BIGINT, NAME STRING, Nation INT, acctBal DOUBLE"
+    suppliers = table(spark, sf_dir, "supplier").toDF("Supp", "NAME", "Nation", "acctBal")
     suppliers.write.json(f"{root}/raw")
     stream = file_stream(spark, f"{root}/raw", "json", types)
     stream_staging(stream, f"{root}/staged", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema("supp BIGINT, name STRING").json(f"{root}/staged")
+    return spark.read.schema("supp BIGINT, name STRING, nation INT, acctbal DOUBLE").json(f"{root}/staged")
 
 
-STREAMED_STAGING = "SELECT s_suppkey AS supp, s_name AS name FROM supplier"
+STREAMED_STAGING = "SELECT s_suppkey AS supp, s_name AS name, s_nationkey AS nation, s_acctbal AS acctbal FROM supplier"
 
 
 def streamed_merge(spark, sf_dir):
     """Two file drops of all orders, the second with newer dates for open ones."""
     root = scratch_dir(spark)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    orders = table(spark, sf_dir, "orders")
     later = orders.withColumn(
         "o_orderdate",
         F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate") + F.expr("INTERVAL '9' DAY")).otherwise(
@@ -260,15 +363,15 @@ def streamed_merge(spark, sf_dir):
     for drop in (orders, later):
         drop.write.mode("append").parquet(f"{root}/raw")
         stream = file_stream(spark, f"{root}/raw", "parquet", orders.schema)
-        stream_merge(
+        stream_into_table(
             stream, f"{root}/table", "o_orderkey", "o_orderdate", "o_orderstatus", f"{root}/checkpoint"
         ).awaitTermination()
-    return spark.read.parquet(version_path(f"{root}/table", 1))
+    return read_table(spark, f"{root}/table")
 
 
 STREAMED_MERGE = """
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 9 DAY ELSE o_orderdate END AS o_orderdate,
-       o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 9 DAY ELSE o_orderdate END AS o_orderdate, o_orderpriority
 FROM orders
 """
 
@@ -290,7 +393,11 @@ QUERIES = {
     "cut_lineage": Query(lineage_cut, LINEAGE_CUT),
     "compact": Query(compacted, "SELECT * FROM lineitem"),
     "table_metrics": Query(metrics, METRICS),
+    "merge_touched": Query(merge_touched, MERGE_TOUCHED),
+    "changes_of_three_loads": Query(changes_of_three_loads, CHANGES_OF_THREE_LOADS),
+    "upsert_and_append": Query(upsert_and_append, UPSERT_AND_APPEND),
     "analytics_changes": Query(analytics_changes, ANALYTICS_CHANGES),
+    "analytics_runs": Query(analytics_runs, ANALYTICS_RUNS),
     "stream_staging": Query(streamed_staging, STREAMED_STAGING),
     "stream_merge": Query(streamed_merge, STREAMED_MERGE),
 }

@@ -52,6 +52,15 @@ def _keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
     spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(_schema_path(path))
 
 
+def has_table(spark: SparkSession, path: str) -> bool:
+    try:
+        return not spark.read.text(_schema_path(path)).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def table_schema(spark: SparkSession, path: str) -> StructType:
     return StructType.fromJson(json.loads(spark.read.text(_schema_path(path)).first()[0]))
 

@@ -18,6 +18,7 @@ from sluicework.operators.merge import merge_newer
 from sluicework.operators.schema import rename_duplicate_columns
 from sluicework.sources.scratch import written_out
 from sluicework.sources.sinks import STAGING_ROWS_PER_FILE, write_partitioned
+from sluicework.sources.tables import create_table, has_table, merge_table
 from sluicework.sources.versions import read_version, version_path
 
 
@@ -79,3 +80,33 @@ def _merge_batch(
         )
 
     return merge
+
+
+def stream_into_table(
+    stream: DataFrame,
+    path: str,
+    unique_id: str,
+    incremental_key: str,
+    partition_column: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Merge unseen files into a table in place; only touched partitions are written.
+
+    A micro-batch that is repeated after a failure finds its rows merged.  Its number names
+    the rows it changed.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = latest_per_key(batch, unique_id, incremental_key, ties="one")
+        if has_table(spark, path):
+            merge_table(spark, path, newest, unique_id, partition_column, batch_id, incremental_key)
+        else:
+            create_table(newest, path, partition_column)
+
+    return (
+        stream.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
