@@ -12,6 +12,7 @@ from sluicework.plans.ingest import ingest, raw_path, stage
 from sluicework.registry.common import Query, table
 from sluicework.sources import control, sinks
 from sluicework.sources.files import read_files, read_sheet, unwrap_envelope
+from sluicework.sources.ledger import consume, read_unseen, unseen_files
 from sluicework.sources.scratch import scratch_dir, written_out
 from sluicework.sources.tables import create_table, merge_table, read_load_changes, read_table
 from sluicework.streaming.increments import file_stream, stream_into_table, stream_staging
@@ -148,6 +149,53 @@ FROM ({CONTROL_ROWS})
 """
 
 
+def control_log(spark, sf_dir):
+    """Two loads that both began with the same control rows, each appended on its own, one of them twice."""
+    log = scratch_dir(spark)
+    rows = _control_rows(spark, sf_dir)
+    control.append_load(rows.withColumn("version", F.lit(0).cast("bigint")), log, "created")
+    began = control.read_log(spark, log)
+    odd = F.col("row_count") % 2 == 1
+
+    def load(which, number):
+        return began.where(which).select("name", (F.col("version") + number).alias("version"), (F.col("row_count") + number).alias("row_count"))
+
+    control.append_load(load(odd, 1), log, "odd-1")
+    control.append_load(load(~odd, 2), log, "even-2")
+    control.append_load(load(odd, 1), log, "odd-1")
+    name = began.agg(F.min("name")).first()[0]
+    newest = control.latest_version(spark, log, name)
+    return control.read_log(spark, log).withColumn("latest_of_first", F.when(F.col("name") == name, newest).cast("bigint"))
+
+
+CONTROL_LOG = f"""
+SELECT name, last_modified, created_at, CASE WHEN row_count % 2 = 1 THEN row_count + 1 ELSE row_count + 2 END AS row_count,
+  CAST(CASE WHEN row_count % 2 = 1 THEN 1 ELSE 2 END AS BIGINT) AS version,
+  CAST(CASE WHEN name = (SELECT min(name) FROM ({CONTROL_ROWS})) THEN CASE WHEN row_count % 2 = 1 THEN 1 ELSE 2 END END AS BIGINT) AS latest_of_first
+FROM ({CONTROL_ROWS})
+"""
+
+
+def scan_ledger(spark, sf_dir):
+    """Three loads by a ledger of files. Closed orders are written first but come last: their files are
+    older than all that was seen. The third load finds nothing."""
+    root = scratch_dir(spark)
+    ledger, late, raw = f"{root}/ledger", f"{root}/late", f"{root}/raw"
+    orders = table(spark, sf_dir, "orders")
+    orders.where("o_orderstatus = 'F'").write.parquet(late)
+    orders.where("o_orderstatus <> 'F'").write.parquet(raw)
+    rows = None
+    for load, paths in (("1", [raw]), ("2", [raw, late]), ("3", [raw, late])):
+        files = written_out(unseen_files(spark, paths, ledger, load))
+        found = read_unseen(spark, files, "parquet", orders.schema, source="kafka").withColumn("load", F.lit(load))
+        consume(files, ledger, load)
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
+SCAN_LEDGER = "SELECT *, CASE WHEN o_orderstatus = 'F' THEN '2' ELSE '1' END AS load FROM orders"
+
+
 def control_optimised(spark, sf_dir):
     """Upkeep of some tables recorded in their control rows; watermarks stay."""
     runs = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
@@ -389,6 +437,8 @@ QUERIES = {
         control_first_load, f"SELECT name, last_modified, row_count, created_at, first_load FROM ({CONTROL_ROWS})"
     ),
     "control_update": Query(control_update, CONTROL_UPDATE),
+    "control_log": Query(control_log, CONTROL_LOG),
+    "scan_ledger": Query(scan_ledger, SCAN_LEDGER),
     "control_optimised": Query(control_optimised, CONTROL_OPTIMISED),
     "cut_lineage": Query(lineage_cut, LINEAGE_CUT),
     "compact": Query(compacted, "SELECT * FROM lineitem"),

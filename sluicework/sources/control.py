@@ -11,6 +11,8 @@ from sluicework.operators.schema import column
 # Fixed value: the watermark of a table that was never loaded.
 NEVER_LOADED = "2016-01-01T00:00:00"
 
+LOAD = "load"
+
 METRICS = ("row_count", "num_files", "size_in_bytes", "version")
 
 
@@ -56,3 +58,35 @@ def advance(control: DataFrame, loads: DataFrame) -> DataFrame:
 def mark_optimised(control: DataFrame, runs: DataFrame) -> DataFrame:
     """Control rows after maintenance: ``last_optimised`` and file metrics move on."""
     return merge_always(control, runs, "name")
+
+
+def append_load(rows: DataFrame, log: str, load: str) -> None:
+    """Append what a load sets in control rows to a log, under the load's own name.
+
+    ``rows`` have ``name``, ``version`` and any other columns.  Loads of several tables may
+    append at once; the same load again replaces what it had appended.
+    """
+    (
+        rows.withColumn(LOAD, F.lit(load))
+        .coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LOAD)
+        .parquet(log)
+    )
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """Control rows from a log: of each table the newest version, of each column the
+    newest value that is set.  A load that sets a column to null leaves it as it was."""
+    rows = spark.read.option("mergeSchema", "true").parquet(log)
+    columns = [c for c in rows.columns if c not in ("name", LOAD)]
+    newest = [
+        F.max_by(column(c), F.when(column(c).isNotNull(), F.struct("version", LOAD))).alias(c) for c in columns
+    ]
+    return rows.groupBy("name").agg(*newest)
+
+
+def latest_version(spark: SparkSession, log: str, name: str) -> int | None:
+    """The newest version of a table, from its rows in the log alone; None before its first load."""
+    return spark.read.parquet(log).where(F.col("name") == name).agg(F.max("version")).first()[0]

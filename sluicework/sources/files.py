@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluicework.operators.schema import quoted
@@ -14,9 +16,6 @@ from sluicework.operators.schema import quoted
 ENVELOPED_SOURCES = ("mongo", "postgress")
 ENVELOPE = "_airbyte_data"
 
-# Any time before files are written.
-NEVER = "1970-01-01T00:00:00"
-
 EXCEL_FORMAT = "com.crealytics.spark.excel"
 
 
@@ -35,7 +34,7 @@ def read_files(
     Files are pruned by modification time when they are listed; the watermark is
     read in UTC whatever the session's zone.  Enveloped sources are unwrapped.  With
     a schema no file is opened to infer one.  No matching file means no rows: with a
-    schema those of the schema, without one those of all files there are.
+    schema those of the schema, without one those of a single file, the newest.
     """
     reader = spark.read.format(file_format).options(recursiveFileLookup="true", **options)
     if "timeZone" not in options:
@@ -52,11 +51,20 @@ def read_files(
     except AnalysisException as error:
         if modified_after is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        everything = reader.option("modifiedAfter", NEVER).load(path)
-        df = everything.where("false")
+        newest = listed_files(spark, path).orderBy(F.desc("modified"), "path").first()
+        if newest is None:
+            raise
+        df = spark.read.format(file_format).options(**options).load(newest["path"]).where("false")
     return unwrap_envelope(df, envelope) if source in ENVELOPED_SOURCES else df
 
 
+def listed_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``path``, ``modified`` and ``size`` of all files below; none is opened."""
+    paths = [path] if isinstance(path, str) else list(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+
+
 def unwrap_envelope(df: DataFrame, envelope: str = ENVELOPE) -> DataFrame:
     return df.select(f"{quoted(envelope)}.*")
 
