@@ -109,11 +109,17 @@ def curate_source(
     then clustered by key already.
     """
     spec = replace(spec, **key_overrides(spec.filters))
-    flat = flatten_documents(rename_duplicate_columns(raw), spec.arrays)
-    filtered = apply_filters(flat, spec.filters)
+    filtered = _filtered(raw, spec)
     mapped, missed = apply_mapping(filtered, rules, as_of)
     fields = mapped_fields(filtered, rules)
-    selected = select_with_key(mapped, fields, spec.unique_id, spec.unique_sql)
+    return _newest(select_with_key(mapped, fields, spec.unique_id, spec.unique_sql), fields, missed, spec)
+
+
+def _filtered(raw: DataFrame, spec: SourceSpec) -> DataFrame:
+    return apply_filters(flatten_documents(rename_duplicate_columns(raw), spec.arrays), spec.filters)
+
+
+def _newest(selected: DataFrame, fields: list[str], missed: list[str], spec: SourceSpec) -> CuratedSource:
     rows = latest_per_key(selected, spec.unique_id, spec.incremental_key).distinct()
     candidates = selected.where(column(spec.incremental_key).isNotNull())
     if spec.keep_unique_id and spec.unique_id not in fields:
@@ -126,6 +132,39 @@ def curate_source(
     return CuratedSource(rows, candidates, kept, missed)
 
 
+def curate_targets(
+    raw: DataFrame,
+    rules: Mapping[str, Sequence[FieldRule]],
+    spec: SourceSpec,
+    as_of: Column | None = None,
+) -> dict[str, CuratedSource]:
+    """One source curated for several targets from one scan.
+
+    Raw rows are read, flattened and filtered once; the rules of all targets make one
+    projection with a struct per target, written to the scratch folder.  Each target
+    then reads its own struct alone and keeps its newest rows.  The same as
+    :func:`curate_source` for every target.
+    """
+    spec = replace(spec, **key_overrides(spec.filters))
+    filtered = _filtered(raw, spec)
+    kept = "__raw"
+    wide = filtered.select(F.struct(*map(column, filtered.columns)).alias(kept))
+    found: dict[str, tuple[str, list[str], list[str]]] = {}
+    for number, (target, own) in enumerate(rules.items()):
+        packed = [name for name, _, _ in found.values()]
+        mapped, missed = apply_mapping(wide.select(kept, *packed, f"{kept}.*"), own, as_of)
+        fields = mapped_fields(filtered, own)
+        chosen = select_with_key(mapped, [*fields, kept, *packed], spec.unique_id, spec.unique_sql)
+        values = [c for c in chosen.columns if c != kept and c not in packed]
+        found[target] = f"__target_{number}", fields, missed
+        wide = chosen.select(kept, *packed, F.struct(*map(column, values)).alias(found[target][0]))
+    once = written_out(wide.drop(kept))
+    return {
+        target: _newest(once.select(f"{name}.*"), fields, missed, spec)
+        for target, (name, fields, missed) in found.items()
+    }
+
+
 def source_views(sources: Iterable[tuple[str, str]]) -> dict[tuple[str, str], str]:
     """View names of sources by database and collection.
 
@@ -177,27 +216,79 @@ def load_sources(
     curated = {}
     for database, collection, config in found:
         details = read_control(configs[config], collection, database)
-        raw = read_files(
-            spark,
-            details["src_path"],
-            modified_after,
-            details["format"],
-            details["source"],
-            details.get("schema"),
-        )
-        spec = SourceSpec(
-            unique_id=details["unique_id"],
-            incremental_key=details["incremental_key"],
-            unique_sql=details.get("unq_sql"),
-            filters=filters.get((database, collection), filters.get(collection, ())),
-            arrays=arrays or {},
-            keep_unique_id=keep_unique_id,
-        )
+        own = filters.get((database, collection), filters.get(collection, ()))
+        raw, spec = _scanned(spark, details, modified_after, own, arrays, keep_unique_id)
         rules = field_rules(targets, target, collection, database)
         curated[views[database, collection]] = curate_source(raw, rules, spec, as_of)
     return curated
 
 
+def _scanned(
+    spark: SparkSession,
+    details: Mapping,
+    modified_after: str | None,
+    filters: Sequence[Mapping[str, str]],
+    arrays: Mapping[str, str | Pivot] | None,
+    keep_unique_id: bool,
+) -> tuple[DataFrame, SourceSpec]:
+    raw = read_files(
+        spark,
+        details["src_path"],
+        modified_after,
+        details["format"],
+        details["source"],
+        details.get("schema"),
+    )
+    spec = SourceSpec(
+        unique_id=details["unique_id"],
+        incremental_key=details["incremental_key"],
+        unique_sql=details.get("unq_sql"),
+        filters=filters,
+        arrays=arrays or {},
+        keep_unique_id=keep_unique_id,
+    )
+    return raw, spec
+
+
+def load_targets(
+    spark: SparkSession,
+    mapping: DataFrame,
+    configs: Mapping[str, DataFrame],
+    targets: Sequence[str],
+    modified_after: str | None,
+    filters: Mapping[str | tuple[str, str], Sequence[Mapping[str, str]]] | None = None,
+    arrays: Mapping[str, str | Pivot] | None = None,
+    keep_unique_id: bool = False,
+    as_of: Column | None = None,
+) -> dict[str, dict[str, CuratedSource]]:
+    """The sources of several targets that are loaded together, each scanned once.
+
+    Returns by target what :func:`load_sources` gives for it.
+    """
+    exploded = explode_targets(mapping)
+    sources: dict[tuple[str, str, str], list[str]] = {}
+    views: dict[str, dict[tuple[str, str], str]] = {}
+    for target in targets:
+        check_targets(exploded, target, within_source=True)
+        found = sorted(mapping_sources(exploded, target).collect())
+        views[target] = source_views((database, collection) for database, collection, _ in found)
+        if len(views[target]) < len(found):
+            raise ValueError(f"a source of {target} is in several control tables")
+        for source in found:
+            sources.setdefault(tuple(source), []).append(target)
+    filters = filters or {}
+    curated: dict[str, dict[str, CuratedSource]] = {target: {} for target in targets}
+    for (database, collection, config), own in sources.items():
+        details = read_control(configs[config], collection, database)
+        raw, spec = _scanned(
+            spark, details, modified_after, filters.get((database, collection), filters.get(collection, ())), arrays, keep_unique_id
+        )
+        rules = {target: field_rules(exploded, target, collection, database) for target in own}
+        for target, source in curate_targets(raw, rules, spec, as_of).items():
+            curated[target][views[target][database, collection]] = source
+    return curated
+
+
 def assemble_batch(
     spark: SparkSession, sources: Mapping[str, CuratedSource], spec: TargetSpec
 ) -> DataFrame:

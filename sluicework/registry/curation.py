@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluicework.operators.dedup import latest_per_key
 from sluicework.operators.mapping import FieldRule
 from sluicework.operators.merge import merge_newer
-from sluicework.plans.curate import SourceSpec, curate_source, run_load
+from sluicework.plans.curate import SourceSpec, curate_source, load_targets, run_load
 from sluicework.plans.ingest import ingest, raw_path
 from sluicework.registry.common import Query, table
 from sluicework.sources.control import NEVER_LOADED, read_control
@@ -261,9 +261,42 @@ SELECT o_orderkey AS order_id, sha256(CAST(o_custkey AS VARCHAR)) AS customer_ha
 FROM orders
 """
 
+TWO_TARGETS = """
+SELECT * FROM VALUES
+  ('sales', 'shop', 'orders', 'raw', 'id', 'order_no', NULL, 'N', 'bigint'),
+  ('sales', 'shop', 'orders', 'raw', 'header.placed', 'ordered_at', 'udf_str_to_ist', 'N', 'string'),
+  ('sales', 'shop', 'orders', 'raw', 'status', 'status', NULL, 'N', 'string'),
+  ('sales', 'shop', 'orders', 'raw', 'price', 'price', NULL, 'N', 'double'),
+  ('audit,sales', 'shop', 'orders', 'raw', 'header.customer', 'customer', NULL, 'N', 'bigint'),
+  ('audit', 'shop', 'orders', 'raw', 'id', 'order_no', NULL, 'N', 'bigint'),
+  ('audit', 'shop', 'orders', 'raw', 'header.placed', 'ordered_at', 'udf_str_to_ist', 'N', 'string'),
+  ('audit', 'shop', 'orders', 'raw', 'status', 'customer_state', NULL, 'N', 'string')
+AS t(DEST_TABLE, SRC_DB, SRC_COLLECTION, SRC_CONFIG, SRC_FIELD, DEST_COLUMN, Transformation, PII, SRC_FIELD_DATATYPE)
+"""
+
+
+def curate_two_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders curated for two targets from one scan; the targets side by side."""
+    root = scratch_dir(spark)
+    orders_at = raw_path(root, "mongo", "shop", "orders")
+    documents = _order_documents(spark, sf_dir)
+    ingest(documents.select(F.struct(*documents.columns).alias("_airbyte_data")), orders_at, datetime(2024, 6, 20))
+    raw = spark.sql(RAW_CONTROL, {"orders_at": orders_at, "people_at": root}).where("name = 'orders'")
+    found = load_targets(spark, spark.sql(TWO_TARGETS), {"raw": raw}, ["sales", "audit"], None)
+    audit = found["audit"]["orders"].rows.withColumnsRenamed({"customer": "audited", "ordered_at": "audited_at"})
+    return found["sales"]["orders"].rows.join(audit, "order_no")
+
+
+CURATE_TWO_TARGETS = """
+SELECT o_orderkey AS order_no, o_orderdate + INTERVAL 330 MINUTE AS ordered_at, o_orderstatus AS status, o_totalprice AS price,
+  o_custkey AS customer, o_custkey AS audited, o_orderdate + INTERVAL 330 MINUTE AS audited_at, o_orderstatus AS customer_state
+FROM orders
+"""
+
 QUERIES = {
     "flagship": Query(flagship, FLAGSHIP),
     "curate_twice": Query(curate_twice, CURATE_TWICE),
+    "curate_two_targets": Query(curate_two_targets, CURATE_TWO_TARGETS),
     "curate_same_collection": Query(curate_same_collection, CURATE_SAME_COLLECTION),
     "curate_source": Query(newest_of_copies, NEWEST_OF_COPIES),
 }

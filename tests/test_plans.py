@@ -11,6 +11,7 @@ from sluicework.plans.curate import (
     SourceSpec,
     TargetSpec,
     curate_source,
+    curate_targets,
     load_target,
     load_sources,
     merge_batch,
@@ -51,6 +52,26 @@ def test_curated_source(spark):
     assert curate_source(raw, rules, SourceSpec("key", "none", filters=override)).rows.columns == ["at", "v"]
 
 
+def test_two_targets_from_one_scan(spark, tmp_path):
+    """The same rows as source by source; raw files are read once, when both targets' structs are written."""
+    path = str(tmp_path / "raw")
+    rows = [(1, "a", 1), (1, "b", 2), (2, None, 1), (3, "c", None)]
+    spark.createDataFrame(rows, "key INT, v STRING, at INT").write.json(path)
+    raw = spark.read.schema("key INT, v STRING, at INT").json(path)
+    rules = {
+        "one": [FieldRule("key", "id", datatype="bigint"), FieldRule("v", "name"), FieldRule("at", "at", datatype="int")],
+        "two": [FieldRule("at", "at", datatype="int"), FieldRule("v", "v", pii=True), FieldRule("gone", "gone")],
+    }
+    spec = SourceSpec("id", "at", unique_sql="concat('k', v)")
+    found = curate_targets(raw, rules, spec)
+    for target, own in rules.items():
+        alone = curate_source(raw, own, spec)
+        assert (found[target].fields, found[target].missed) == (alone.fields, alone.missed)
+        assert found[target].rows.columns == alone.rows.columns
+        assert sorted(map(tuple, found[target].rows.collect()), key=str) == sorted(map(tuple, alone.rows.collect()), key=str)
+        assert "json" not in found[target].rows._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_loads_make_versions(spark, tmp_path):
     spec = replace(SPEC, path=str(tmp_path / "t"))
     rows = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "id INT, at INT, v STRING")
