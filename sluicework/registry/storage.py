@@ -14,7 +14,7 @@ from sluicework.sources import control, sinks
 from sluicework.sources.files import read_files, read_sheet, unwrap_envelope
 from sluicework.sources.ledger import consume, read_unseen, unseen_files
 from sluicework.sources.scratch import scratch_dir, written_out
-from sluicework.sources.tables import create_table, merge_table, read_load_changes, read_table
+from sluicework.sources.tables import compact_small_files, create_table, merge_table, read_load_changes, read_table
 from sluicework.streaming.increments import file_stream, stream_into_table, stream_staging
 
 INGESTED_AT = datetime(2024, 6, 20, 7, 5)
@@ -276,6 +276,33 @@ UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice * 2, o_
 """
 
 
+def compact_small(spark, sf_dir):
+    """Open orders arrive in three loads of their own; their partition alone is made one file again."""
+    path = scratch_dir(spark)
+    orders = table(spark, sf_dir, "orders")
+    create_table(orders.where("o_orderstatus <> 'O'"), path, "o_orderstatus")
+    for load in (1, 2, 3):
+        part = orders.where(f"o_orderstatus = 'O' AND o_orderkey % 3 = {load - 1}")
+        merge_table(spark, path, part, "o_orderkey", "o_orderstatus", load, "o_orderdate")
+
+    def files():
+        state = spark.read.parquet(f"{path}/_output=state")
+        return state.groupBy("o_orderstatus").agg(F.sort_array(F.collect_set("_metadata.file_path")).alias("files"))
+
+    before = written_out(files())
+    compact_small_files(spark, path, "o_orderstatus")
+    same = before.join(files().withColumnRenamed("files", "now"), "o_orderstatus").select(
+        "o_orderstatus", (F.col("files") == F.col("now")).alias("same_files"), F.size("files").alias("files_before"), F.size("now").alias("files_after")
+    )
+    return read_table(spark, path).join(same, "o_orderstatus")
+
+
+COMPACT_SMALL = """
+SELECT *, o_orderstatus <> 'O' AS same_files, CAST(CASE o_orderstatus WHEN 'O' THEN 3 ELSE 1 END AS INTEGER) AS files_before,
+  CAST(1 AS INTEGER) AS files_after FROM orders
+"""
+
+
 def changes_of_three_loads(spark, sf_dir):
     """What three loads changed together: prices double twice, new orders come and change, a status moves.
     The changes are those kept by the loads; no state is read."""
@@ -444,6 +471,7 @@ QUERIES = {
     "compact": Query(compacted, "SELECT * FROM lineitem"),
     "table_metrics": Query(metrics, METRICS),
     "merge_touched": Query(merge_touched, MERGE_TOUCHED),
+    "compact_small": Query(compact_small, COMPACT_SMALL),
     "changes_of_three_loads": Query(changes_of_three_loads, CHANGES_OF_THREE_LOADS),
     "upsert_and_append": Query(upsert_and_append, UPSERT_AND_APPEND),
     "analytics_changes": Query(analytics_changes, ANALYTICS_CHANGES),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sluicework.operators.evolve import conform, widened_type
+from sluicework.operators.layout import TARGET_FILE_BYTES
 from sluicework.operators.merge import (
     CHANGE_TYPE,
     CHANGES,
@@ -30,7 +31,7 @@ from sluicework.operators.merge import (
     net_changes,
 )
 from sluicework.operators.schema import column
-from sluicework.operators.skew import any_null, is_broadcastable, key_list
+from sluicework.operators.skew import any_null, is_broadcastable, key_list, row_salt
 from sluicework.sources.scratch import written_out
 
 LOAD = "_load"
@@ -215,3 +216,39 @@ def _emptied(merged: DataFrame, partition_column: str, values: list) -> DataFram
     return rows.select(
         *[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in merged.schema.fields]
     )
+
+
+def compact_small_files(
+    spark: SparkSession,
+    path: str,
+    partition_column: str,
+    file_bytes: int = TARGET_FILE_BYTES,
+    least_small: int = 2,
+) -> list:
+    """Rewrite partitions that have collected small files; returns their values.
+
+    Small is below half of ``file_bytes``.  Only partitions with at least ``least_small``
+    such files are read and overwritten, with files of about ``file_bytes``; all others
+    keep their files.  Found by file metadata alone.
+    """
+    state = _rows(spark, path, STATE)
+    is_small = F.col("bytes") * 2 < file_bytes
+    sizes = (
+        state.select(column(partition_column), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        .distinct()
+        .groupBy(column(partition_column))
+        .agg(F.count_if(is_small).alias("small"), F.greatest(F.lit(1), F.ceil(F.sum("bytes") / file_bytes)).cast("int").alias("files"))
+        .where(F.col("small") >= least_small)
+    )
+    # One row per partition at most, as many as the table has folders.
+    chosen = sizes.select(column(partition_column), "files").collect()
+    if not chosen:
+        return []
+    values = [r[0] for r in chosen]
+    files = F.coalesce(*[F.when(column(partition_column).eqNullSafe(F.lit(v)), n) for v, n in chosen], F.lit(1))
+    rows = read_table(spark, path).where(_among(column(partition_column), values))
+    bucket = F.pmod(row_salt(rows, 1 << 20), files)
+    dealt = rows.repartition(sum(r[1] for r in chosen), column(partition_column), bucket)
+    whole = dealt.withColumn(CHANGE_TYPE, F.lit(None).cast("string")).withColumn(OUTPUT, F.lit(STATE))
+    _write(whole, path, 0, partition_column, "overwrite")
+    return values

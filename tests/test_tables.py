@@ -16,7 +16,7 @@ from sluicework.operators.merge import (
     merge_with_changes,
     net_changes,
 )
-from sluicework.sources.tables import create_table, merge_table, read_load_changes, read_table
+from sluicework.sources.tables import compact_small_files, create_table, merge_table, read_load_changes, read_table
 
 KIND = "id INT, inc INT, v STRING, p STRING"
 
@@ -170,6 +170,22 @@ def test_a_partition_that_all_rows_leave(session, tmp_path):
     assert rows(read_table(session, path)) == [(1, 2, "y", "b"), (2, 1, "x", "b"), (3, 2, "z", "a")]
 
 
+def test_only_partitions_with_small_files_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "table")
+    wide = spark.range(3000).select(F.col("id").cast("int").alias("id"), F.lit(1).alias("inc"), F.sha2(F.col("id").cast("string"), 512).alias("v"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("p"), F.col("id") % 3)).alias("p"))
+    create_table(wide.where("id < 2400"), path, "p")
+    for load, part in enumerate(("p1", "p1", None, None), 1):
+        rows_ = wide.where("id >= 2400").where(F.col("p").eqNullSafe(F.lit(part))).where(F.col("id") % 2 == load % 2)
+        merge_table(spark, path, rows_, "id", "p", load, "inc")
+    before = files(spark, path)
+    assert {p: len(f) for p, f in before.items()} == {"p1": 3, "p2": 1, None: 3}
+    assert sorted(compact_small_files(spark, path, "p", file_bytes=60_000), key=str) == [None, "p1"]
+    after = files(spark, path)
+    assert after["p2"] == before["p2"] and all(len(after[p]) < 3 and not after[p] & before[p] for p in ("p1", None))
+    assert rows(read_table(spark, path)) == rows(wide.where("id < 2400 OR p IS NULL OR p = 'p1'"))
+    assert compact_small_files(spark, path, "p", file_bytes=60_000) == []
+
+
 def test_types_grow_over_loads(session, tmp_path):
     path = str(tmp_path / "table")
     create_table(session.createDataFrame([(1, 1, (1,), "a"), (2, 1, (2,), "b")], "id INT, inc INT, s STRUCT<x: INT>, p STRING"), path, "p")
