@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.tasks import map_arrow
+from sluicework.llm.tasks import map_arrow, release_memory
 from sluicework.llm.words import hash_words, words_of
 from sluicework.sources.scratch import written_out
 
@@ -220,6 +220,7 @@ def graded(model: OrdinalModel, text: Column | str) -> Column:
     @F.pandas_udf("expected_grade double, tail double")
     def run(texts: pd.Series) -> pd.DataFrame:
         tails = model.tails(np.array([model.score(text) for text in texts]))
+        release_memory()
         return pd.DataFrame({"expected_grade": tails.sum(1), "tail": tails[:, -1]})
 
     return run(text)

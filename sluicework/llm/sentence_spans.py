@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.tasks import map_arrow, packed_out
+from sluicework.llm.tasks import map_arrow, packed_out, release_memory
 from sluicework.llm.words import mixed
 from sluicework.sources.scratch import written_out
 
@@ -174,6 +174,7 @@ def _without(texts: pa.Array, firsts: pa.Array, lasts: pa.Array) -> pa.Array:
         start, end = (first & ((1 << _BITS) - 1)).tolist(), (last & ((1 << _BITS) - 1)).tolist()
         kept.append("".join(text[a:b] for a, b in zip([0, *end], [*start, len(text)], strict=True)))
     texts = pc.replace_with_mask(texts, pa.array(has), pa.array(kept, texts.type))
+    release_memory()
     return pa.StructArray.from_arrays([texts, pa.array(removed)], ["text", "removed"])
 
 

@@ -26,7 +26,7 @@ KNOWN_MARKS = 10_000
 
 #: Bytes of the longest piece that is merged here, and of text that is looked up at a time.
 MERGED_BYTES = 64
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 18
 
 ID_BYTES = 4
 

@@ -77,3 +77,32 @@ def test_stages_by_their_plain_versions(spark, folder):
 def test_run_gives_the_rows_of_the_last_stage(spark, folder):
     found = corpus_pipeline.run(spark, folder[0])
     assert found.count() > 0 and found.columns[:3] == ["doc_id", "start", "length"]
+
+
+def test_odd_rows_pass_through_all_stages(spark):
+    """Nulls, empty and very long texts, repeated rows, and columns whose names the stages use."""
+    rng = random.Random(4)
+    prose = [" ".join(" ".join(f"w{rng.randrange(3000)}" for _ in range(9)) + "." for _ in range(8)) for _ in range(30)]
+    rows = list(enumerate(prose)) + [(3, prose[3]), (3, prose[3]), (None, "no id of any kind here."), (40, None), (41, ""), (42, " \n"), (43, "long words here. " * 40_000)]
+    path = scratch_dir(spark)
+    docs = documents(spark, rows, {i: None if i == 5 else f"s{(i or 0) % 3}" for i, _ in rows})
+    docs = docs.selectExpr("*", "1 AS keep", "2 AS copy", "3 AS spans", "4 AS component", "5 AS text_key", "6 AS result", "7 AS tail")
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    current, kept = spark.read.parquet(f"{path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = f"{scratch_dir(spark)}/{name}"
+        stage(spark, current, path).write.parquet(out)
+        current = spark.read.parquet(out)
+        kept[name] = current.collect()
+    ids = [r.doc_id for r in kept["near_duplicates"]]
+    assert len(ids) == len(set(ids)) and all(r.text is None or isinstance(r.text, str) for r in kept["repeated_passages"])
+    _check([(r.doc_id, r.text) for r in kept["mixing"]], kept["packing"], 4096)
+
+
+def test_empty_tables(spark):
+    path = scratch_dir(spark)
+    none = documents(spark, [])
+    none.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    assert corpus_pipeline.run(spark, path).collect() == []

@@ -1,7 +1,10 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from sluicework.llm.quality import _chosen, classify, features, fit, grades_of
 from tests.llm.helpers import DOCUMENT, documents
@@ -101,3 +104,68 @@ def test_rare_grades_are_taken_whole(spark):
     found = [r.grade for r in chosen.collect()]
     assert [found.count(g) for g in range(3)] == [140, 50, 140]
     assert shares == {0: 350 / 140, 1: 1.0, 2: 1600 / 140}
+
+
+def _named_place(name):
+    return xxhash.xxh3_64_intdigest(name.encode()) % (1 << 18)
+
+
+def plain_score(weights, text):
+    """The sum of the weights of a text's features, feature by feature."""
+    words = re.findall(rb"[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode())
+    bare = [re.sub(rb"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$", b"", w) for w in words]
+    distinct = {b or w for b, w in zip(bare, words, strict=True)}
+    places = {xxhash.xxh3_64_intdigest(w) % (1 << 18) for w in distinct}
+    places |= {xxhash.xxh3_64_intdigest(b"-" + b[:5]) % (1 << 18) for b in bare if len(b) > 5}
+    score = sum(0.25 * weights[p] for p in places)
+    data = text.encode()
+    for byte in set(data):
+        if byte < 128 and not ord("a") <= byte <= ord("z"):
+            score += weights[_named_place(f"byte {byte}")] * math.sqrt(data.count(byte) / len(text))
+    kept = [b or w for b, w in zip(bare, words, strict=True)]
+    again = sum(a == b for a, b in zip(kept, kept[1:], strict=False)) / len(words)
+    for name in (
+        f"distinct {int(10 * len(distinct) / len(words))}", f"again {int(10 * again)}", f"length {len(words).bit_length()}",
+        f"word length {min(32, sum(map(len, words)) // len(words))}",
+    ):
+        score += weights[_named_place(name)]
+    return score
+
+
+def test_scores_and_tails_by_plain_sums(spark):
+    rows, ratings = _corpus(300)
+    rows += [(9000, "One, one ONE! two-fold; \"quoted\" words; words words é 42"), (9001, "x")]
+    df = documents(spark, rows)
+    known = spark.createDataFrame(ratings, "doc_id long, grade int")
+    model = fit(df, known)
+    found = {r.doc_id: r for r in classify(df, known).collect()}
+    for i, text in rows[::17] + rows[-2:]:
+        score = plain_score(model.weights.astype(float), text)
+        tails = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert abs(found[i].expected_grade - sum(tails)) < 1e-3 and abs(found[i].tail - tails[-1]) < 1e-3
+
+
+def test_thresholds_are_the_likeliest(spark):
+    """The plain likelihood of the ratings falls if a threshold is moved either way."""
+    rows, ratings = _corpus(400)
+    rng = random.Random(1)
+    ratings = [(i, rng.randrange(3) if rng.random() < 0.3 else g) for i, g in ratings]
+    df = documents(spark, rows)
+    model = fit(df, spark.createDataFrame(ratings, "doc_id long, grade int"))
+    scores = {i: plain_score(model.weights.astype(float), t) for i, t in rows}
+    shares = {g: sum(h == g for _, h in ratings) for _, g in ratings}
+    assert min(shares.values()) > 0
+
+    def likelihood(thresholds):
+        total = 0.0
+        for i, grade in ratings:
+            below = [0.0, *(1 / (1 + math.exp(scores[i] - t)) for t in thresholds), 1.0]
+            total += math.log(max(below[grade + 1] - below[grade], 1e-12))
+        return total / len(ratings)
+
+    best = likelihood(model.thresholds)
+    assert best > math.log(1 / 3)
+    for k, move in ((0, -2.0), (0, 2.0), (1, -2.0), (1, 2.0)):
+        moved = model.thresholds.copy()
+        moved[k] += move
+        assert likelihood(moved) < best
