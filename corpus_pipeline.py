@@ -18,14 +18,21 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents more likely of the highest grade than not, by a model of the labels."""
+    """Documents more likely of the highest grade than not, by a model of the labels.
+
+    Null and empty texts are graded by their length alone, very long ones are read whole;
+    repeated rows get equal grades and stay together. Without labels of two grades all
+    stay; an empty table gives no rows. Only the columns of documents are kept.
+    """
     return classify(docs, grades_of(table(spark, sf_dir, "labels"))).filter("keep").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates; empty ones have none.
 
-    Equal rows of the one that stays are one row after it.
+    The one of the smallest doc_id stays, null last, then of the smallest hash of its text.
+    Equal rows of the one that stays are one row after it. Null, empty and white texts are
+    groups of their own, very long texts are compared whole. An empty table gives no rows.
     """
     first = (
         ngram_jaccard_components(docs)
@@ -39,17 +46,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that an earlier document holds."""
+    """Texts without passages that an earlier document holds.
+
+    Earlier is by doc_id, null last, then by a hash of the text; ties go by the place in
+    the text. Null texts stay null, texts of which all is removed become empty, and no row
+    is dropped. Very long texts are cut whole. An empty table gives no rows.
+    """
     return remove_repeated_spans(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source with an equal share, in random order."""
+    """Every source with an equal share, in random order.
+
+    A null source is a source. Texts play no part, null and long ones are copied as they
+    are; rows of one doc_id draw alike, so repeated rows get as many copies each. A
+    document may get none. An empty table gives no rows.
+    """
     return poisson_mix(docs).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 4096 tokens, neighbours along the curve together."""
+    """Sequences of 4096 tokens, neighbours along the curve together.
+
+    Null and empty texts are their end token alone, very long ones fill several
+    sequences. Copies are packed once each, in an order given by doc_id. An empty table
+    gives no rows.
+    """
     return pack_along_curve(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
