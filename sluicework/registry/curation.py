@@ -83,6 +83,7 @@ SELECT CASE WHEN o_orderstatus = 'P' THEN 'old' ELSE o_orderstatus END AS status
 FROM orders GROUP BY 1
 """
 
+# Names of mapping and control columns, and the flags of transformations.
 MAPPING = """
 SELECT * FROM VALUES
   ('sales,audit', 'shop', 'orders', 'raw', 'id', 'order_no', NULL, 'N', 'bigint'),

@@ -21,6 +21,7 @@ def _mapping_rows(spark, sf_dir) -> DataFrame:
     )
 
 
+# Names of mapping columns.
 MAPPING_ROWS = """
 SELECT unnest([p_type, p_brand]) AS DEST_TABLE, concat('db', p_size) AS SRC_DB,
        p_type AS SRC_COLLECTION, 'raw' AS SRC_CONFIG, concat('A.b', p_partkey) AS SRC_FIELD,

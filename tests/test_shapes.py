@@ -6,6 +6,7 @@ from pyspark.testing.utils import assertDataFrameEqual
 
 from sluicework.operators import nested, schema
 
+# The contacts, and the rows they must give.
 CONTACTS = "id BIGINT, name STRING, contacts ARRAY<STRUCT<type: STRING, value: STRING>>"
 
 
