@@ -57,7 +57,9 @@ FROM events
 
 
 def epoch_to_ist(spark, sf_dir):
-    millis = (_epoch("ts") * 1000 + F.col("user_id")).cast("string")
+    # Any number within the second: an id of 1000 or more would be of a later one, null of none.
+    within = F.coalesce(F.pmod("user_id", F.lit(1000)), F.lit(0))
+    millis = (_epoch("ts") * 1000 + within).cast("string")
     return table(spark, sf_dir, "events").select(
         "event_id",
         fn.epoch_to_ist(_epoch("ts")).alias("ist"),
