@@ -44,6 +44,8 @@ _SALT = "__salt"
 _THEIR_SALT = "__their_salt"
 _NEWEST = "__newest"
 _RANK = "__rank"
+_ADDED = "__added"
+_CHANGED = "__changed"
 _COPIES_PER_SLICE = 10_000
 
 # What a row of a merge with changes is: of the new state, or of what changed.
@@ -51,6 +53,9 @@ OUTPUT = "_output"
 STATE = "state"
 CHANGES = "changes"
 
+# The rows a joined row may give: of the new state, and before and after a change.
+_KEPT, _BEFORE, _AFTER = 0, 1, 2
+
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Non-null keys that several rows share."""
@@ -318,7 +323,7 @@ def merge_with_changes(
     else:
         newest = column(incremental_key)
         is_newer = lambda row: row.getField(incremental_key) > column(incremental_key)
-    before = F.struct(*[f.stored().alias(f.name) for f in fields])
+    staged_as = [(f"__before_{i}", f"__after_{i}") for i in range(len(fields))]
     if is_broadcastable(source) and not insert_only:
         packed = source.where(~any_null(keys)).select(
             *map(column, keys), F.struct(*map(column, source.columns)).alias(_ROW)
@@ -328,56 +333,45 @@ def merge_with_changes(
             F.count(F.lit(1)).alias(_COUNT),
         )
         joined = lookup_join(target, packed, keys, "left").withColumn(_UPDATE, _updates(keys, is_newer))
-        inserts = _insertable(fields, _new_rows(target, source, keys, None))
-        row = F.struct(*[column(f.name) for f in fields])
-        both = inserts.select(F.array(_output(STATE, None, row), _output(CHANGES, INSERT, row)).alias(_ROW))
+        added = _insertable(fields, _new_rows(target, source, keys, None)).select(
+            *[F.lit(None).cast(f.kind).alias(b) for f, (b, _) in zip(fields, staged_as)],
+            *[column(f.name).alias(a) for f, (_, a) in zip(fields, staged_as)],
+            F.lit(True).alias(_ADDED),
+            F.lit(True).alias(_UPDATE),
+        )
         is_new = F.lit(False)
     else:
         joined = _joined_in_one_pass(target, source, keys, newest, is_newer, unique_source)
-        both, is_new = None, F.col(_MINE).isNull()
-    after = F.struct(*_updated(fields, fill_nulls))
-    staged = joined.select(before.alias("__before"), after.alias("__after"), is_new.alias("__new"), _UPDATE)
-    is_changed = F.col(_UPDATE) & ~_equal(F.col("__before"), F.col("__after"), [f.kind for f in fields], [f.name for f in fields])
-    outputs = (
-        F.when(
-            F.col("__new"),
-            F.array(_output(STATE, None, F.col("__after")), _output(CHANGES, INSERT, F.col("__after"))),
-        )
-        .when(
-            is_changed,
-            F.array(
-                _output(STATE, None, F.col("__after")),
-                _output(CHANGES, PREIMAGE, F.col("__before")),
-                _output(CHANGES, POSTIMAGE, F.col("__after")),
-            ),
-        )
-        .otherwise(F.array(_output(STATE, None, F.col("__after"))))
+        added, is_new = None, F.col(_MINE).isNull()
+    staged = joined.select(
+        *[f.stored().alias(b) for f, (b, _) in zip(fields, staged_as)],
+        *[value.alias(a) for value, (_, a) in zip(_updated(fields, fill_nulls), staged_as)],
+        is_new.alias(_ADDED),
+        _UPDATE,
     )
-    found = staged.select(outputs.alias(_ROW))
-    found = found.unionAll(both) if both is not None else found
-    out = found.select(F.explode(_ROW).alias(_ROW))
-    return out.select(
-        *[F.col(_ROW)["row"].getField(f.name).alias(f.name) for f in fields],
-        F.col(_ROW)["change"].alias(CHANGE_TYPE),
-        F.col(_ROW)["output"].alias(OUTPUT),
+    staged = staged.unionAll(added) if added is not None else staged
+    differs = F.lit(False)
+    for f, (b, a) in zip(fields, staged_as):
+        differs = differs | ~_equal(F.col(b), F.col(a), f.kind)
+    # A fixed array: of one made row by row, Spark computes the whole expression once more to drop empty ones.
+    out = staged.withColumn(_CHANGED, F.col(_ADDED) | (F.col(_UPDATE) & differs)).withColumn(
+        _ROW, F.explode(F.array(F.lit(_KEPT), F.lit(_BEFORE), F.lit(_AFTER)))
     )
-
-
-def _output(output: str, change: str | None, row: Column) -> Column:
-    return F.struct(
-        F.lit(output).alias("output"), F.lit(change).cast("string").alias("change"), row.alias("row")
+    is_kept, is_before = F.col(_ROW) == _KEPT, F.col(_ROW) == _BEFORE
+    out = out.where(is_kept | (F.col(_CHANGED) & (~is_before | ~F.col(_ADDED))))
+    change = F.when(is_before, PREIMAGE).when(~is_kept, F.when(F.col(_ADDED), INSERT).otherwise(POSTIMAGE))
+    return out.select(
+        *[F.when(is_before, F.col(b)).otherwise(F.col(a)).alias(f.name) for f, (b, a) in zip(fields, staged_as)],
+        change.alias(CHANGE_TYPE),
+        F.when(is_kept, STATE).otherwise(CHANGES).alias(OUTPUT),
     )
 
 
-def _equal(a: Column, b: Column, kinds: Sequence[DataType], names: Sequence[str]) -> Column:
-    """Whether structs agree in all fields; maps, which do not compare, by their entries in order."""
-    same = F.lit(True)
-    for name, kind in zip(names, kinds):
-        x, y = a.getField(name), b.getField(name)
-        if not is_orderable(kind):
-            x, y = F.to_json(F.struct(x)), F.to_json(F.struct(y))
-        same = same & x.eqNullSafe(y)
-    return same
+def _equal(x: Column, y: Column, kind: DataType) -> Column:
+    """Whether values agree; maps, which do not compare, by their entries in order."""
+    if not is_orderable(kind):
+        x, y = F.to_json(F.struct(x)), F.to_json(F.struct(y))
+    return x.eqNullSafe(y)
 
 
 def change_feed(

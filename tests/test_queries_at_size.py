@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import __spark_entry__ as entry_module
+from sluicework.operators.merge import merge_with_changes
 from tests import oracle
 
 QUERIES = entry_module.queries()
@@ -25,3 +26,15 @@ def test_epoch_to_ist_of_large_ids(spark, tmp_path):
     types = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
     stored(spark.createDataFrame(rows, types), tmp_path, "events")
     assert mismatch(spark, "epoch_to_ist", tmp_path) is None
+
+
+def test_merge_with_changes_computes_its_rows_once(shuffled):
+    """An array made row by row was computed a second time to see whether it was empty, and outside generated code."""
+    stored = shuffled.range(1000).selectExpr("id", "id % 7 AS n", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS at")
+    batch = shuffled.range(500, 1500).selectExpr("id", "id % 5 AS n", "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS at")
+    merged = merge_with_changes(stored, batch, "id", "at")
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in plan
+    assert plan.count("update_postimage") == 1
+    found = {(r[0], r[1]): r[2] for r in merged.groupBy("_output", "_change_type").count().collect()}
+    assert found == {("state", None): 1500, ("changes", "insert"): 500, ("changes", "update_preimage"): 500, ("changes", "update_postimage"): 500}
