@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.tasks import map_arrow, packed_out, release_memory
 from sluicework.llm.words import mixed
-from sluicework.sources.scratch import written_out
+from sluicework.sources.scratch import shuffles_freed, written_out
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
@@ -198,14 +198,15 @@ def remove_repeated_spans(documents: DataFrame) -> DataFrame:
     )
     keyed = documents.withColumn(key_id, F.col("doc_id").cast("long")).withColumn(key_hash, F.xxhash64("text"))
     texts = keyed.select(F.col(key_id).alias("doc_id"), F.col(key_hash).alias("text_hash"), F.col("text").cast("string").alias("text"))
-    # Written once, as both sides of the joins are: Spark can then split a run that very many documents hold.
-    found = packed_out(
-        map_arrow(texts.filter("text IS NOT NULL"), _all_runs, "run long, doc_id long, text_hash long, first long, last long")
-    )
-    repeated = written_out(found.groupBy("run").count().filter("count > 1").select("run"))
-    places = packed_out(found.join(repeated, "run"))
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "first")
-    first = written_out(places.groupBy("run").agg(F.min(place).alias("first_place")))
+    with shuffles_freed(documents.sparkSession):
+        # Written once, as both sides of the joins are: Spark can then split a run that very many documents hold.
+        found = packed_out(
+            map_arrow(texts.filter("text IS NOT NULL"), _all_runs, "run long, doc_id long, text_hash long, first long, last long")
+        )
+        repeated = written_out(found.groupBy("run").count().filter("count > 1").select("run"))
+        places = packed_out(found.join(repeated, "run"))
+        place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "first")
+        first = written_out(places.groupBy("run").agg(F.min(place).alias("first_place")))
     later = (
         places.join(first, "run")
         .filter(place != F.col("first_place"))

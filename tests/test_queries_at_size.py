@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import __spark_entry__ as entry_module
+from sluicework.llm import sentence_spans
 from sluicework.operators.merge import merge_with_changes
 from tests import oracle
 
@@ -38,3 +39,18 @@ def test_merge_with_changes_computes_its_rows_once(shuffled):
     assert plan.count("update_postimage") == 1
     found = {(r[0], r[1]): r[2] for r in merged.groupBy("_output", "_change_type").count().collect()}
     assert found == {("state", None): 1500, ("changes", "insert"): 500, ("changes", "update_preimage"): 500, ("changes", "update_postimage"): 500}
+
+
+def test_repeated_spans_free_each_shuffle_as_it_ends(spark, monkeypatch):
+    freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(freed, None)
+    seen = []
+    for name in ("packed_out", "written_out"):
+        plain = getattr(sentence_spans, name)
+        monkeypatch.setattr(sentence_spans, name, lambda df, plain=plain: (seen.append(spark.conf.get(freed, None)), plain(df))[1])
+    text = "One two three four five six seven eight nine ten. Now eleven more words make it long enough to be a passage."
+    documents = spark.createDataFrame([(1, text), (2, text)], "doc_id BIGINT, text STRING")
+    rows = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeated_spans(documents).collect()}
+    assert rows == {1: text, 2: ""}
+    assert seen == ["true"] * 4
+    assert spark.conf.get(freed, None) == before
