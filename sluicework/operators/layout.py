@@ -15,6 +15,9 @@ from sluicework.operators.skew import row_salt
 # Fixed value: bytes a compacted file should hold.
 TARGET_FILE_BYTES = 104_857_600
 
+# A task sorts and writes a file alone: rows of larger ones would fill its memory.
+MOST_FILE_BYTES = TARGET_FILE_BYTES
+
 _TIE = "__tie"
 _PLACE = "__place"
 _LEAST_BITS = 4
@@ -52,12 +55,14 @@ def compact(
     With ``cluster_by``, files hold rows that are close in all of these columns:
     by value for one, along a Z-order curve for several.  Rows of a partition
     value stay together.  A range may end inside equal values, so a value that
-    fills many files is split over as many tasks.
+    fills many files is split over as many tasks.  Such files are sorted and so
+    hold ``MOST_FILE_BYTES`` at most; larger tables get more files, not larger tasks.
     """
     files = max(1, -(-table_bytes // file_bytes))
     first = [column(partition_column)] if partition_column else []
     if not first and not cluster_by:
         return df.repartition(files)
+    files = max(files, -(-table_bytes // MOST_FILE_BYTES))
     place = [column(c) for c in cluster_by]
     if len(place) > 1:
         df = with_z_order(df, cluster_by, files)

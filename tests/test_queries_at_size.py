@@ -4,6 +4,7 @@ from datetime import datetime
 
 import __spark_entry__ as entry_module
 from sluicework.llm import sentence_spans
+from sluicework.operators.layout import TARGET_FILE_BYTES, compact
 from sluicework.operators.merge import merge_with_changes
 from tests import oracle
 
@@ -54,3 +55,10 @@ def test_repeated_spans_free_each_shuffle_as_it_ends(spark, monkeypatch):
     assert rows == {1: text, 2: ""}
     assert seen == ["true"] * 4
     assert spark.conf.get(freed, None) == before
+
+
+def test_compacted_tasks_do_not_grow_with_the_table(spark):
+    rows = spark.range(2000).selectExpr("id", "id % 7 AS n")
+    size = 6 * TARGET_FILE_BYTES
+    assert compact(rows, size, ["n"], file_bytes=size // 4 + 1).rdd.getNumPartitions() == 6
+    assert compact(rows, size, ["n"], file_bytes=size // 9).rdd.getNumPartitions() == 10
