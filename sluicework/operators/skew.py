@@ -60,12 +60,12 @@ def is_large(df: DataFrame, above: int | None = None) -> bool:
 def is_broadcastable(df: DataFrame) -> bool:
     """Whether Catalyst would broadcast this side by its own threshold."""
     size = planned_bytes(df)
-    return size is not None and size <= _bytes_conf(
+    return size is not None and size <= bytes_conf(
         df.sparkSession, "spark.sql.autoBroadcastJoinThreshold"
     )
 
 
-def _bytes_conf(spark: SparkSession, name: str) -> int:
+def bytes_conf(spark: SparkSession, name: str) -> int:
     text = spark.conf.get(name).strip().lower().rstrip("b")
     scale = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}.get(text[-1:], 1)
     return int(text if scale == 1 else text[:-1]) * scale

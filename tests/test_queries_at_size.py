@@ -6,6 +6,8 @@ import __spark_entry__ as entry_module
 from sluicework.llm import sentence_spans
 from sluicework.operators.layout import TARGET_FILE_BYTES, compact
 from sluicework.operators.merge import merge_with_changes
+from sluicework.sources.scratch import session_conf
+from sluicework.sources.tables import compact_small_files, create_table, merge_table, read_table
 from tests import oracle
 
 QUERIES = entry_module.queries()
@@ -62,3 +64,16 @@ def test_compacted_tasks_do_not_grow_with_the_table(spark):
     size = 6 * TARGET_FILE_BYTES
     assert compact(rows, size, ["n"], file_bytes=size // 4 + 1).rdd.getNumPartitions() == 6
     assert compact(rows, size, ["n"], file_bytes=size // 9).rdd.getNumPartitions() == 10
+
+
+def test_first_state_has_whole_files(spark, tmp_path):
+    """Rows of a partition beyond what Spark gives a task made small files, which compaction had to rewrite."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 400_000, 1, 4).selectExpr("id", "xxhash64(id) AS n", "'p' AS p")
+    with session_conf(spark, key, "200k"):
+        create_table(rows, str(tmp_path / "t"), "p")
+        merge_table(spark, str(tmp_path / "t"), rows.selectExpr("-id - 1 AS id", "n", "'q' AS p"), "id", "p", 1)
+        assert spark.conf.get(key) == "200k"
+    assert len(read_table(spark, str(tmp_path / "t")).inputFiles()) == 2
+    assert compact_small_files(spark, str(tmp_path / "t"), "p") == []
+    assert read_table(spark, str(tmp_path / "t")).count() == 800_000
