@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.shards import beside_shards, merged
 from sluicework.llm.tasks import map_arrow
-from sluicework.sources.scratch import written_out
+from sluicework.sources.scratch import written_apart, written_out
 
 #: Occurrences of terms in a shard, and queries in a block.
 SHARD_TERMS = 2_000_000
@@ -113,10 +113,11 @@ def build_index(documents: DataFrame) -> DataFrame:
 
     Takes ``doc_id`` and ``text``. Shards are made where documents are read, so nothing
     is shuffled; ``sizes`` (terms of a document, ascending), ``docs`` and ``tf`` (postings
-    of all ``terms``, ``df`` of each) say all that a search needs.
+    of all ``terms``, ``df`` of each) say all that a search needs. However many shards a
+    task makes or reads, it holds one.
     """
     shards = map_arrow(_bytes(documents, "doc_id"), _shards, _INDEX)
-    return written_out(shards.withColumn("block", F.monotonically_increasing_id()))
+    return written_apart(shards.withColumn("block", F.monotonically_increasing_id()))
 
 
 @dataclass(frozen=True)

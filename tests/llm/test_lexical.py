@@ -2,6 +2,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,6 +89,16 @@ def test_index_is_searched_again(spark):
         assert _rows(search_index(index, spark.createDataFrame([(1, text)], ITEM), 4)) == plain(docs, [(1, text)], 4)
 
 
+def test_a_task_holds_one_shard(spark):
+    """A task made three shards; each is written, and so read, apart from the others."""
+    docs = spark.range(0, 3, 1, 1).selectExpr("id AS doc_id", f"repeat('w' || id || ' all ', {module.SHARD_TERMS // 2}) AS text")
+    index = build_index(docs)
+    (written,) = (pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles())
+    assert [written.row_group(i).num_rows for i in range(written.num_row_groups)] == [1, 1, 1]
+    found = search_index(index, spark.createDataFrame([(1, "w1 w2"), (2, "w0")], ITEM), 4).collect()
+    assert sorted((r.item_id, r.rank, r.doc_id) for r in found) == [(1, 1, 1), (1, 2, 2), (2, 1, 0)]
+
+
 def test_strata_below_the_best_are_not_visited():
     """Rare terms of short documents; the long strata cannot reach them."""
     hashes, _ = term_counts(b"a")
