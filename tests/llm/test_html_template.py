@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sluicework.llm import html_template as module
 from sluicework.llm.html_blocks import read_page
-from sluicework.llm.html_template import _page_tokens, article_blocks, equivalence_classes, main_text, nested_classes
+from sluicework.llm.html_template import _page_tokens, article_blocks, differentiated, equivalence_classes, main_text, nested_classes, outline_of, outlines
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 PAGE = "page_id long, url string, html string"
@@ -135,6 +135,97 @@ def test_classes_are_those_of_whole_vectors(spark):
     assert outer[True, False] == 1 and outer[True, True] > 3 and (False, True) in outer
 
 
+def _unnamed(count, seed=3, prefix="http://c.example/"):
+    """Pages whose menu, article and footer are elements of one path, and their articles."""
+    rng = random.Random(seed)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+
+    rows = []
+    for i in range(count):
+        title, paragraphs = prose(4), [prose(rng.randrange(20, 40)) for _ in range(rng.randrange(2, 6))]
+        menu = "".join(f"<li>{prose(2)}</li>" for _ in range(rng.randrange(2, 5)))
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        # The last two come apart one round after the table before them.
+        source = f"<body><div>{prose(5)}<ul>{menu}</ul></div><div><h1>{title}</h1>{body}</div><div>{prose(9)}<table><tr><td>{prose(2)}</table></div><div><div>{prose(3)}</div></div></body>"
+        rows.append((i, f"{prefix}{i}", source, "\n\n".join([title, *paragraphs])))
+    return rows
+
+
+@pytest.mark.parametrize("entries", [1_000_000, 0])
+def test_position_tells_the_article_from_what_has_its_path(spark, monkeypatch, entries):
+    monkeypatch.setattr(module, "BROADCAST_ENTRIES", entries)
+    site = _unnamed(12)
+    rows = [r[:3] for r in site] + [(70, "http://d.example/", "<article>alone</article>")]
+    expected = sorted([(i, t) for i, _, _, t in site] + [(70, "alone")])
+    assert sorted((r.page_id, r.text) for r in main_text(spark.createDataFrame(rows, PAGE)).collect()) == expected
+
+
+def _plain_rounds(sources):
+    """Tokens of valid classes after the last round: vectors and sequences whole, roles as they are put together."""
+    pages = [outline_of(read_page(s)) for s in sources]
+    roles = [{(kind, i): (kind, (o.paths if kind == 0 else o.texts)[i]) for kind, i in o.in_order()} for o in pages]
+    before = None
+    for rounds in range(100):
+        vectors = {(0, 0): [1] * len(pages)}
+        for at, page in enumerate(roles):
+            for role in page.values():
+                vectors.setdefault(role, [0] * len(pages))[at] += 1
+        valid = {r: tuple(v) for r, v in vectors.items() if sum(map(bool, v)) >= max(2, len(pages) / 2)}
+        if before == sorted(valid.values()):
+            return rounds, before
+        before = sorted(valid.values())
+        classes = dict(valid)
+        for vector in set(valid.values()):
+            seen = {}
+            for page in roles:
+                run = [r for r in [(0, 0), *page.values()] if valid.get(r) == vector]
+                for i, role in enumerate(run):
+                    earlier = [r for r in run[:i] if role[0] == 1 or r[0] == 0]
+                    seen.setdefault(role, set()).add(earlier[-1] if earlier else None)
+            heads = [[r for r in seen if r[0] == kind and None in seen[r]] for kind in (0, 1)]
+            for role, others in seen.items():
+                if len(others - {None}) > 1 or None in others and len(heads[role[0]]) > 1:
+                    classes[role] = (vector, role)
+        told = []
+        for o, page in zip(pages, roles, strict=True):
+            new, last, inside = {}, {classes[0, 0]: (0, 0)}, {-1: [classes[0, 0]]}
+            for (kind, i), role in page.items():
+                outer = o.parents[i] if kind == 0 else o.elements[i]
+                new[kind, i] = (kind, role, new.get((0, outer)), tuple(last[c] for c in inside[outer]))
+                if role in classes:
+                    last[classes[role]] = role
+                if kind == 0:
+                    inside[i] = inside[outer] + ([classes[role]] if role in classes and classes[role] not in inside[outer] else [])
+            told.append(new)
+        roles = told
+
+
+def _moving(count):
+    """A notice and a table come in either order; lists of pairs; an element on most pages only."""
+    rng = random.Random(8)
+    for i in range(count):
+        parts = ["<p>A notice.</p>", "<table><tr><td>x</table>"]
+        rng.shuffle(parts)
+        pairs = "".join(f"<dt>{k} {i}<dd><div>a{k}</div><div>b<h2>h</h2></div><div>c</div>" for k in range(rng.randrange(1, 4)))
+        yield f"<body><div>{parts[0]}</div><div>{parts[1]}</div><dl>{pairs}</dl>{'<hr><form><p>f</form>' * (i % 4 > 0)}<div>end</div></body>"
+
+
+@pytest.mark.parametrize("sources", [[r[2] for r in _unnamed(9)], [r[2] for r in _site(9)], list(_moving(16))], ids=["unnamed", "site", "moving"])
+def test_rounds_are_those_of_whole_vectors(spark, sources):
+    pages = spark.createDataFrame([(7, i, s) for i, s in enumerate(sources)], "host_key long, row_no long, html string")
+    tokens, known = differentiated(outlines(pages).localCheckpoint())
+    rounds, expected = _plain_rounds(sources)
+    assert sorted((r["class"].pages, r["class"].occurrences) for r in tokens.collect()) == sorted((sum(map(bool, v)), sum(v)) for v in expected)
+    classes = {}
+    for v in expected:
+        classes[v] = classes.get(v, 0) + 1
+    assert sorted(r["count"] for r in tokens.groupBy("class").count().collect()) == sorted(classes.values())
+    assert [r.rounds for r in known.collect()] == [rounds] and rounds > 1
+    assert tokens.count() > equivalence_classes(pages).count()
+
+
 def test_empty_table(spark):
     assert main_text(spark.createDataFrame([], PAGE)).collect() == []
 
